@@ -17,13 +17,14 @@ Grouping is correct in all of them even if the uniqueness claim is wrong.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcraft.functions.columns import as_number, safe_ratio
+from panelcraft.functions.columns import as_number, predicate, safe_ratio
 from panelcraft.operators.ranks import exact_medians
 from panelcraft.operators.streaks import add_run_marks, longest_run
 from panelcraft.spec import (
@@ -50,19 +51,21 @@ def trailing_features(
     unique_periods: bool = False,
     every_key: bool = False,
     edges: DataFrame | None = None,
+    keep_range: tuple[int, int] | None = None,
     carry: Sequence[str] = (),
-    carry_range: tuple[int, int] | None = None,
     block_length: int = BLOCK_LENGTH,
 ) -> DataFrame:
     """Compute all ``features`` over ``panel``.
 
     With one base period per feature the result has one row per key; otherwise
     one per (key, ``base_period``). A key appears if it has a row in any window
-    (``every_key``: always). ``edges`` is a small table with one row per base
-    period holding the arrays that ``Feature.edge`` refers to. ``carry`` adds
-    the panel's own columns at the base period, for periods in ``carry_range``.
+    or in ``keep_range`` (``every_key``: always). ``edges`` is a small table with
+    one row per base period holding the arrays that ``Feature.edge`` refers to.
+    ``carry`` adds the panel's own columns at the base periods of ``keep_range``.
     """
     features = list(features)
+    if any(f.where for f in features if f.kind in (STREAK, RISING_STREAK)):
+        raise ValueError("streaks take no row filter of their own")
     key = features[0].key
     period = next((f.period for f in features if f.period), None)
     rolling = (
@@ -77,16 +80,18 @@ def trailing_features(
 
     numeric = sorted({f.value for f in features if f.value and _is_numeric(f)})
     text = sorted({f.value for f in features if f.value and not _is_numeric(f)})
+    filters = sorted({f.where for f in features if f.where})
     rows = panel.where(F.col(key).isNotNull()).select(
         F.col(f"`{key}`"),
         *([F.col(f"`{period}`").cast("int").alias(_PERIOD)] if period else []),
         *[as_number(F.col(f"`{c}`")).alias(_num(c)) for c in numeric],
         *[F.col(f"`{c}`").alias(_raw(c)) for c in text],
+        *[F.coalesce(predicate(w), F.lit(False)).alias(_kept(w)) for w in filters],
         *[F.col(f"`{c}`").alias(_carried(c)) for c in carry],
     )
 
     if period:
-        near = rows.where(_any_window(features, carry_range))
+        near = rows.where(_any_window(features, keep_range))
         if not every_key:
             rows = near
         elif rolling or clustered:
@@ -95,9 +100,10 @@ def trailing_features(
 
     group = [key]
     if rolling:
-        start = min([f.first_base for f in features] + ([carry_range[0]] if carry_range else []))
-        end = max([f.last_base for f in features] + ([carry_range[1]] if carry_range else []))
-        longest = max([f.months for f in features], default=1)
+        ranges = [(f.first_base, f.last_base) for f in features]
+        ranges += [keep_range] if keep_range else []
+        start, end = min(low for low, _ in ranges), max(high for _, high in ranges)
+        longest = max(f.months for f in features)
         blocks = clustered and end - start >= block_length
         first = F.greatest(F.col(_PERIOD), F.lit(start))
         last = F.least(F.col(_PERIOD) + (longest - 1), F.lit(end))
@@ -130,7 +136,7 @@ def trailing_features(
         _aggregate(f, rolling).alias(f.name) for f in features if f not in by_rank
     ]
     for c in carry:
-        own = (F.col(_PERIOD) == F.col(BASE)) & F.col(BASE).between(*carry_range)
+        own = (F.col(_PERIOD) == F.col(BASE)) & F.col(BASE).between(*keep_range)
         aggregates.append(F.max(F.when(own, F.col(_carried(c)))).alias(c))
     result = rows.groupBy(*group).agg(*(aggregates or [F.count(F.lit(1)).alias("_rows")]))
 
@@ -153,13 +159,17 @@ def _raw(column: str) -> str:
     return f"_raw_{column.replace('.', '_')}"
 
 
+def _kept(where: str) -> str:
+    return "_kept_" + hashlib.sha1(where.encode()).hexdigest()[:12]
+
+
 def _carried(column: str) -> str:
     return f"_own_{column.replace('.', '_')}"
 
 
-def _any_window(features: Sequence[Feature], carry_range: tuple[int, int] | None) -> Column:
+def _any_window(features: Sequence[Feature], keep_range: tuple[int, int] | None) -> Column:
     """Rows that can count for some feature, as few range conditions as possible."""
-    spans = {carry_range} if carry_range else set()
+    spans = {keep_range} if keep_range else set()
     for f in features:
         if f.period is None:
             return F.lit(True)
@@ -188,10 +198,13 @@ def _base(f: Feature, rolling: bool) -> Column:
 
 def _inside(f: Feature, rolling: bool) -> Column:
     """Whether a row lies in the feature's TRAIL(N) at its base period."""
+    kept = F.col(_kept(f.where)) if f.where else None
     if f.period is None:
-        return F.lit(True)
+        return F.lit(True) if kept is None else kept
     base = _base(f, rolling)
     inside = F.col(_PERIOD).between(base - (f.months - 1), base)
+    if kept is not None:
+        inside = inside & kept
     if f.rows_from is not None:
         inside = inside & F.col(_PERIOD).between(f.rows_from, f.rows_to)
     if rolling:
