@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from panelcraft.functions.columns import as_number, null_skipping_sum, safe_ratio
+from panelcraft.functions.columns import as_number
 from panelcraft.spec import Feature, numbered, ratio_features
 
 # Longest history per key that one window partition sorts. With one row per
@@ -70,16 +70,20 @@ def add_ratios(
     if split:
         rows = rows.where("_own")
 
-    def ratio(f: Feature) -> Column:
-        value = safe_ratio(
-            null_skipping_sum(F.col(sums[c, f.months]) for c in f.numerator),
-            null_skipping_sum(F.col(sums[c, f.months]) for c in f.denominator),
-        )
-        repeated = F.raise_error(F.lit("ratios need one row per key and period"))
-        return F.when(F.col("_twin"), repeated.cast("double")).otherwise(value)
+    def total(columns: Sequence[str], months: int) -> str:
+        return " + ".join(f"coalesce({sums[c, months]}, 0D)" for c in columns)
 
+    repeated = "raise_error('ratios need one row per key and period')"
     return rows.select(
-        *[f"`{c}`" for c in panel.columns], *[ratio(f).alias(f.name) for f in features]
+        *[f"`{c}`" for c in panel.columns],
+        *[
+            F.expr(
+                f"CASE WHEN _twin THEN CAST({repeated} AS DOUBLE) ELSE "
+                f"try_divide({total(f.numerator, f.months)}, {total(f.denominator, f.months)}) "
+                f"END AS `{f.name}`"
+            )
+            for f in features
+        ],
     )
 
 

@@ -8,9 +8,9 @@ aggregate that joins the other trailing features.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcraft.spec import RISING_STREAK, Feature
@@ -20,7 +20,8 @@ MISSING_PREVIOUS = -1.0
 
 
 def _mark(f: Feature) -> str:
-    return f"_run_{f.kind}_{f.value}_{f.threshold}".replace(".", "_").replace("-", "m")
+    label = f"{f.kind}_{f.value}_{float(f.threshold)!r}"
+    return "_run_" + "".join(c if c.isascii() and c.isalnum() else f"_{ord(c)}_" for c in label)
 
 
 def _gaps_break_runs(f: Feature) -> bool:
@@ -33,7 +34,7 @@ def add_run_marks(
     group: Sequence[str],
     period: str,
     features: Sequence[Feature],
-    number: Callable[[str], str],
+    numbers_of: Mapping[str, str],
 ) -> DataFrame:
     """Add, per (kind, value, threshold), what ``longest_run`` needs to know.
 
@@ -56,13 +57,13 @@ def add_run_marks(
             before == F.col(period),
             F.raise_error(F.lit("streaks need one row per key and period")).cast("boolean"),
         ).otherwise(F.coalesce(before == F.col(period) - 1, F.lit(False))),
-    ).withColumns({f"_before_{number(v)}": F.lag(number(v)).over(ordered) for v in values})
+    ).withColumns({f"_before_{numbers_of[v]}": F.lag(numbers_of[v]).over(ordered) for v in values})
 
     marks, numbers = {}, {}
     for name, f in distinct.items():
-        value = F.col(number(f.value))
+        value = F.col(numbers_of[f.value])
         previous = F.coalesce(
-            F.when(F.col("_adjacent"), F.col(f"_before_{number(f.value)}")),
+            F.when(F.col("_adjacent"), F.col(f"_before_{numbers_of[f.value]}")),
             F.lit(MISSING_PREVIOUS),
         )
         above = F.coalesce(value > f.threshold, F.lit(False))
@@ -82,24 +83,20 @@ def add_run_marks(
                 .orderBy(period)
                 .rangeBetween(-(reach[name] - 1), 0)
             )
-            above = F.col(number(f.value)) > f.threshold
+            above = F.col(numbers_of[f.value]) > f.threshold
             rows = rows.withColumn(
                 name, F.collect_list(F.when(above, F.col(period))).over(recent)
             )
     return rows
 
 
-def longest_run(
-    f: Feature, inside: Column, base: Column, period: str, number: Callable[[str], str]
-) -> Column:
-    """Aggregate: length of the longest run in the window, null without one."""
-    counts = inside & (F.col(number(f.value)) > f.threshold)
-    first = base - (f.months - 1)
+def longest_run(f: Feature, inside: str, base: str, period: str, value: str) -> str:
+    """SQL aggregate: length of the longest run in the window, null without one."""
+    first = f"{base} - {f.months - 1}"
     if f.rows_from is not None:
-        first = F.greatest(first, F.lit(f.rows_from))
-    mark = F.col(_mark(f))
+        first = f"greatest({first}, {f.rows_from})"
     if _gaps_break_runs(f):
-        length = F.col(period) - F.greatest(mark, first) + 1
+        length = f"{period} - greatest({_mark(f)}, {first}) + 1"
     else:
-        length = F.size(F.filter(mark, lambda p: p >= first))
-    return F.max(F.when(counts, length))
+        length = f"size(filter({_mark(f)}, p -> p >= {first}))"
+    return f"max({length}) FILTER (WHERE {inside} AND {value} > double('{float(f.threshold)!r}'))"
