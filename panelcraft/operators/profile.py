@@ -175,3 +175,23 @@ def category_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .agg(F.sum("weight").alias("cnt"))
         .withColumn("pct", F.coalesce(safe_share(F.col("cnt"), total), F.lit(0.0)))
     )
+
+
+def presence_grid(panel: DataFrame, key: str, period: str, start: int, end: int) -> DataFrame:
+    """Every key with every period start..end, and '1' in ``missing`` if absent.
+
+    The pairs come from the key's own presence mask: neither a cross join nor a
+    join back to the panel is needed.
+    """
+    p = F.col(period).cast("int")
+    present = (
+        panel.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.collect_set(F.when(p.between(start, end), p)).alias("_periods"))
+    )
+    grid = present.select(key, F.explode(F.sequence(F.lit(start), F.lit(end))).alias(period), "_periods")
+    return grid.select(
+        key,
+        period,
+        (~F.array_contains("_periods", F.col(period))).cast("int").cast("string").alias("missing"),
+    )

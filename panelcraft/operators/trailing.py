@@ -46,6 +46,11 @@ BLOCK = "_block"
 BLOCK_LENGTH = 512
 PERIOD = "_period"
 
+# A group with more rows than this never has its median taken by one task.
+HOT_ROWS = 1_000_000
+# At most this many such groups are broadcast, a few dozen bytes each.
+MAX_HOT_GROUPS = 500_000
+
 
 def trailing_features(
     panel: DataFrame,
@@ -136,21 +141,20 @@ def trailing_features(
             rows = rows.join(F.broadcast(edges), BASE, "left")
     rows = rows.withColumns({n: F.expr(text) for text, n in names.windows.items()})
 
-    by_rank = [] if clustered else [f for f in features if f.kind == STAT and f.func == "np.median"]
-    aggregates = [
-        F.expr(f"{_aggregate(f, names, rolling)} AS `{f.name}`")
-        for f in features
-        if f not in by_rank
-    ]
+    medians = [f for f in features if f.kind == STAT and f.func == "np.median"]
+    others = [f for f in features if f not in medians]
+    aggregates = [F.expr(f"{_aggregate(f, names, rolling)} AS `{f.name}`") for f in others]
     for i, c in enumerate(carry):
         own = f"{PERIOD} = {BASE} AND {BASE} BETWEEN {keep_range[0]} AND {keep_range[1]}"
         aggregates.append(F.expr(f"max(_own_{i}) FILTER (WHERE {own}) AS `{c}`"))
     result = rows.groupBy(*group).agg(*(aggregates or [F.count(F.lit(1)).alias("_rows")]))
-
+    if medians and (clustered or unique_periods):
+        found = _group_medians(rows, group, medians, names)
+        result = result.join(found, group, "left") if aggregates else found
+    elif medians:
+        found = _medians(rows, group, medians, names)
+        result = result.join(found, group, "left") if aggregates else found
     out_keys = [key, BASE] if rolling else [key]
-    if by_rank:
-        medians = _medians(rows, out_keys, by_rank, names)
-        result = result.join(medians, out_keys, "left")
     return result.select(
         *[f"`{c}`" for c in (*out_keys, *carry)], *[f"`{f.name}`" for f in features]
     )
@@ -318,10 +322,47 @@ def _above(f: Feature, names: _Names) -> str:
     return f"({v} IS NULL OR {v} >= {edge})" if f.null_is_above else f"{v} >= {edge}"
 
 
+def _group_medians(
+    rows: DataFrame, keys: list[str], features: Sequence[Feature], names: _Names
+) -> DataFrame:
+    """Medians of groups that fit a task.
+
+    Kept apart from the other features, because one median turns the whole
+    aggregate into an object aggregate, which costs more than this join.
+    """
+    return rows.groupBy(*keys).agg(
+        *[F.expr(f"{_aggregate(f, names, names.rolling)} AS `{f.name}`") for f in features]
+    )
+
+
 def _medians(
     rows: DataFrame, keys: list[str], features: Sequence[Feature], names: _Names
 ) -> DataFrame:
-    """Medians for groups whose size has no bound, by rank selection."""
+    """Medians of groups of any size.
+
+    A median holds its group's values in memory, so groups over ``HOT_ROWS``
+    rows go through rank selection. Which ones these are is looked up first;
+    their number is checked before they are broadcast, and beyond the limit
+    every group is rank-selected.
+    """
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = sizes.where(F.col("_rows") > HOT_ROWS).select(*keys)
+    found = hot.limit(MAX_HOT_GROUPS + 1).count()
+    if found == 0:
+        return _group_medians(rows, keys, features, names)
+    if found > MAX_HOT_GROUPS:
+        return _ranked_medians(rows, keys, features, names)
+    hot = F.broadcast(hot)
+    small = rows.join(hot, keys, "left_anti")
+    large = rows.join(hot, keys, "left_semi")
+    return _group_medians(small, keys, features, names).unionByName(
+        _ranked_medians(large, keys, features, names)
+    )
+
+
+def _ranked_medians(
+    rows: DataFrame, keys: list[str], features: Sequence[Feature], names: _Names
+) -> DataFrame:
     tagged = ", ".join(
         f"struct({i} AS median_id, CASE WHEN {names.window(f)} THEN {names.values[f.value]} END AS v)"
         for i, f in enumerate(features)
