@@ -195,3 +195,13 @@ def presence_grid(panel: DataFrame, key: str, period: str, start: int, end: int)
         period,
         (~F.array_contains("_periods", F.col(period))).cast("int").cast("string").alias("missing"),
     )
+
+
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """Rows per non-null value, most frequent first (ties by value)."""
+    return (
+        df.where(F.col(column).isNotNull())
+        .groupBy(column)
+        .agg(F.count(F.lit(1)).alias("cnt"))
+        .orderBy(F.desc("cnt"), column)
+    )

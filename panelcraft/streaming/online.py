@@ -51,7 +51,7 @@ class Step:
         for f in self.features:
             if f.kind == RATIO:
                 found |= {*f.numerator, *f.denominator}
-            elif f.kind not in (EXPRESSION, CATEGORY) and f.value:
+            elif f.kind not in (EXPRESSION, CATEGORY) and f.value and f.func != "np.size":
                 found.add(f.value)
             if f.period:
                 found.add(f.period)
