@@ -99,4 +99,4 @@ def longest_run(f: Feature, inside: str, base: str, period: str, value: str) ->
         length = f"{period} - greatest({_mark(f)}, {first}) + 1"
     else:
         length = f"size(filter({_mark(f)}, p -> p >= {first}))"
-    return f"max({length}) FILTER (WHERE {inside} AND {value} > double('{float(f.threshold)!r}'))"
+    return f"max(CAST({length} AS BIGINT)) FILTER (WHERE {inside} AND {value} > double('{float(f.threshold)!r}'))"

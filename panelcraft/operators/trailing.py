@@ -243,7 +243,7 @@ def _aggregate(f: Feature, names: _Names, rolling: bool) -> str:
         if f.kind == STREAK:
             return run
         # Every key of the input counts 0 without a run.
-        filled = f"coalesce({run}, 0)"
+        filled = f"coalesce({run}, 0L)"
         if rolling:
             return f"CASE WHEN {BASE} BETWEEN {f.first_base} AND {f.last_base} THEN {filled} END"
         if f.rows_from is not None:

@@ -325,6 +325,56 @@ def discovery(rolling: bool) -> str:
     return f"WITH {USER_DAY}, {layer_sql()} SELECT {columns} FROM {joined}"
 
 
+def dictionary_sql() -> str:
+    """One row per variable of the discovery run; edges come from the data."""
+    names = var_names()
+    rows = []
+
+    def add(module, months, value="NULL", func="NULL", category="NULL"):
+        quoted = [x if x == "NULL" else f"'{x}'" for x in (value, func, category)]
+        rows.append(
+            f"SELECT '{next(names)}' AS var_name, '{module}' AS module, CAST({months} AS INTEGER) AS N_Months, "
+            f"{quoted[0]} AS value_column, {quoted[1]} AS func_name, CAST(NULL AS DOUBLE) AS bin_value, "
+            f"{quoted[2]} AS category_value"
+        )
+
+    for months in (1, 3):
+        for _ in TRIPLE:
+            add("ff_combination_pct", months)
+    codes = {"size": "np.size", "sum": "np.sum", "min": "np.min", "max": "np.max",
+             "average": "np.average", "median": "np.median"}
+    for value, months in (("amt2", 1), ("amt2", 3), ("amt3", 4)):
+        for stat in STATS:
+            add("ff_common_stat", months, value, codes.get(stat, stat))
+        for _ in spans(months) if months > 1 else [(1, 1)]:
+            for func in ("np.sum", "np.max", "np.mean"):
+                add("ff_period_compare_stat", months, value, func)
+    for module, value, months in (
+        ("ff_continue_gt_N", "amt2", 3),
+        ("ff_continue_gt_N", "amt2", 6),
+        ("ff_continue_inc_gt_N", "amt3", 6),
+        ("ff_continue_gt_N", "var_7", 3),
+    ):
+        add(module, months, value)
+    for module, value, months, bins, by_rank in (
+        ("ff_bin_distribution_by_loc", "amt2", 3, 4, True),
+        ("ff_bin_distribution_by_val", "amt4", 3, 3, False),
+        ("ff_bin_distribution_by_val", "amt4", 6, 3, False),
+    ):
+        first = int(next(names).removeprefix("var_"))
+        for _ in range(bins - 1):
+            next(names)
+        rows.append(
+            f"SELECT 'var_' || ({first} + ordinal), '{module}', {months}, '{value}', NULL, edge, NULL "
+            f"FROM {edges('near', value, months, bins, LAST, LAST, by_rank)}"
+        )
+    for months in (5, 6):
+        for category in EVENT_TYPES:
+            for func in ("cnt", "pct"):
+                add("ff_category_cnt_pct", months, "cat", func, category)
+    return f"WITH {USER_DAY}, {layer_sql()} " + " UNION ALL ".join(rows)
+
+
 def replay_sql() -> str:
     names = iter(["total", "best", "mid"])
     window = trail("with_pct", 6, LAST, LAST)
@@ -502,6 +552,7 @@ ORACLES = {
       FROM worst GROUP BY 1""",
     "discover_features": discovery(False),
     "discover_rolling": discovery(True),
+    "discover_dictionary": dictionary_sql(),
     "replay_features": replay_sql(),
     "custom_expr": with_panel(
         f"""SELECT user_id, {LAST} AS base_period, total, size, total / size AS mean_all,
