@@ -3,23 +3,35 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: the one the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local-mode session without that setting gets a temporary folder: on a
+    Only a local-mode session without that setting gets a temporary folder: on a
     cluster a machine-local path would not survive the loss of an executor.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             shared = tempfile.mkdtemp(prefix="panelcraft-checkpoint-")
         sc.setCheckpointDir(shared)
-    return df.checkpoint()
+    return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Later plans start from the stored rows, so what is decided from one read
+    (such as partition numbers) holds for every other, whatever is lost and
+    recomputed in between; and they read only the columns they need.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

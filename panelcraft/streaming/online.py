@@ -107,8 +107,18 @@ def split_requests(
     tagged = requests.withColumn("_step", scalar(document, STEP_PATH))
     usable, rejected = {}, []
     for name, parts in by_step.items():
-        mine = tagged.where(F.col("_step") == name).withColumns(
-            {f"_rows_{i}": row_array(document, p.rows_path, p.fields) for i, p in enumerate(parts)}
+        parsed = F.struct(
+            *[
+                row_array(document, p.rows_path, p.fields).alias(f"_rows_{i}")
+                for i, p in enumerate(parts)
+            ]
+        )
+        # The one-element explode keeps the conditions below from being moved
+        # before the parse, where each of them would parse the document again.
+        mine = (
+            tagged.where(F.col("_step") == name)
+            .select("request_id", "document", F.explode(F.array(parsed)).alias("_parsed"))
+            .select("request_id", "document", "_parsed.*")
         )
         mine = mine.withColumn(
             "_problem",

@@ -27,6 +27,8 @@ from panelcraft.plans.check import check
 from panelcraft.plans.config import Blocks, Source
 from panelcraft.plans.discover import discover
 from panelcraft.plans.replay import replay
+from panelcraft.session import materialize
+from panelcraft.sources.dictionary import dictionary_frame
 from panelcraft.sources.documents import explode_rows, row_array
 from panelcraft.spec import (
     CATEGORY,
@@ -312,7 +314,10 @@ def assert_unique(spark, sf_dir):
 
 def check_report(spark: SparkSession, sf_dir: str):
     """Both panels checked, as the data-check job reports them."""
-    panels = {"user_day": user_day(spark, sf_dir), "customer_month": customer_month(spark, sf_dir)}
+    panels = {
+        "user_day": stored_user_day(spark, sf_dir),
+        "customer_month": materialize(customer_month(spark, sf_dir)),
+    }
     meta = [
         {"filename": name, "var_name": column, "var_type": kind}
         for name, column, kind in (
@@ -435,22 +440,25 @@ BLOCKS = Blocks(
 )
 
 
+def stored_user_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived panel as a stored table, for jobs that read it several times."""
+    return materialize(user_day(spark, sf_dir))
+
+
 @query
 def discover_features(spark, sf_dir):
-    return discover(user_day(spark, sf_dir), SOURCE, BLOCKS).table
+    return discover(stored_user_day(spark, sf_dir), SOURCE, BLOCKS).table
 
 
 @query
 def discover_rolling(spark, sf_dir):
-    return discover(user_day(spark, sf_dir), SOURCE, BLOCKS, rolling=True).table
+    return discover(stored_user_day(spark, sf_dir), SOURCE, BLOCKS, rolling=True).table
 
 
 @query
 def discover_dictionary(spark, sf_dir):
     """The feature dictionary of a discovery run, thresholds included."""
-    from panelcraft.sources.dictionary import dictionary_frame
-
-    found = discover(user_day(spark, sf_dir), SOURCE, BLOCKS)
+    found = discover(stored_user_day(spark, sf_dir), SOURCE, BLOCKS)
     return dictionary_frame(spark, found.features).select(
         "var_name", "module", "N_Months", "value_column", "func_name", "bin_value", "category_value"
     )
