@@ -43,34 +43,54 @@ def bin_edges(panel: DataFrame, features: Sequence[Feature]) -> DataFrame:
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _layer(f: Feature, period: Column, column: Column) -> Column:
-    return column if f.rows_from is None else F.when(
-        period.between(f.rows_from, f.rows_to), column
+def _windows(f: Feature, period: Column) -> Column:
+    """The feature's base periods that a row of ``period`` counts for."""
+    bases = _bases_of(period, f.months, f.first_base, f.last_base)
+    if f.rows_from is None:
+        return bases
+    return F.when(period.between(f.rows_from, f.rows_to), bases)
+
+
+def _any_of(features: Sequence[Feature], period: Column) -> Column:
+    return period.between(
+        min(f.first_base - f.months + 1 for f in features), max(f.last_base for f in features)
     )
 
 
 def _rank_edges(panel: DataFrame, features: Sequence[Feature]) -> DataFrame:
-    period = F.col(features[0].period).cast("int")
-    tagged = F.array(
+    columns = sorted({f.value for f in features})
+    values = F.array(
         *[
-            F.struct(
-                F.lit(f.name).alias("edge_set"),
-                F.lit(f.bins).alias("bins"),
-                as_number(F.col(f"`{f.value}`")).alias("v"),
-                _layer(f, period, _bases_of(period, f.months, f.first_base, f.last_base)).alias("bases"),
-            )
-            for f in features
+            F.struct(F.lit(i).alias("column"), as_number(F.col(f"`{c}`")).alias("v"))
+            for i, c in enumerate(columns)
         ]
     )
-    # Equal values of a period collapse before they are copied to base periods.
+    # Equal values of a period collapse before they are copied to the windows.
     counted = (
         panel.where(F.col(features[0].key).isNotNull())
-        .select(F.explode(tagged).alias("t"))
-        .select("t.*")
-        .where(F.col("v").isNotNull() & F.col("bases").isNotNull())
-        .groupBy("edge_set", "bins", "bases", "v")
+        .select(F.col(features[0].period).cast("int").alias("p"), F.explode(values).alias("t"))
+        .select("p", "t.*")
+        .where(F.col("v").isNotNull() & _any_of(features, F.col("p")))
+        .groupBy("column", "p", "v")
         .agg(F.count(F.lit(1)).alias("times"))
-        .withColumn(BASE, F.explode("bases"))
+    )
+    sets = F.lit(None)
+    for i, c in enumerate(columns):
+        of_column = F.array(
+            *[
+                F.struct(
+                    F.lit(f.name).alias("edge_set"),
+                    F.lit(f.bins).alias("bins"),
+                    _windows(f, F.col("p")).alias("bases"),
+                )
+                for f in features
+                if f.value == c
+            ]
+        )
+        sets = F.when(F.col("column") == i, of_column).otherwise(sets)
+    counted = (
+        counted.withColumn("s", F.explode(sets))
+        .select("s.edge_set", "s.bins", F.explode("s.bases").alias(BASE), "v", "times")
     )
     # Position i of nb is trunc(i * step) with step = (n-1)/nb, in doubles.
     wanted = select_ranks(
@@ -92,7 +112,7 @@ def _width_edges(panel: DataFrame, features: Sequence[Feature]) -> DataFrame:
     values = sorted({f.value for f in features})
     # One row per period after the first aggregate, so copies are cheap.
     per_period = (
-        panel.where(F.col(features[0].key).isNotNull())
+        panel.where(F.col(features[0].key).isNotNull() & _any_of(features, period))
         .groupBy(period.alias("p"))
         .agg(
             *[F.min(as_number(F.col(f"`{v}`"))).alias(f"min_{i}") for i, v in enumerate(values)],
@@ -106,7 +126,7 @@ def _width_edges(panel: DataFrame, features: Sequence[Feature]) -> DataFrame:
                 F.lit(f.bins).alias("bins"),
                 F.col(f"min_{values.index(f.value)}").alias("low"),
                 F.col(f"max_{values.index(f.value)}").alias("high"),
-                _layer(f, F.col("p"), _bases_of(F.col("p"), f.months, f.first_base, f.last_base)).alias("bases"),
+                _windows(f, F.col("p")).alias("bases"),
             )
             for f in features
         ]
@@ -173,9 +193,12 @@ def bin_shares(
     long = shares.select(
         key, BASE, F.posexplode(F.array(*[f.name for f in features])).alias("ordinal", "share")
     )
-    return long.join(
-        F.broadcast(edges.select(BASE, "ordinal", "edge")), [BASE, "ordinal"]
-    ).select(key, BASE, "ordinal", "edge", "share")
+    edge = F.get(F.col("_edges"), F.col("ordinal"))
+    return (
+        long.join(F.broadcast(lookup), BASE)
+        .where(edge.isNotNull())
+        .select(key, BASE, "ordinal", edge.alias("edge"), "share")
+    )
 
 
 def threshold_share(

@@ -61,6 +61,7 @@ def trailing_features(
     edges: DataFrame | None = None,
     keep_range: tuple[int, int] | None = None,
     carry: Sequence[str] = (),
+    keyed: bool = False,
     block_length: int = BLOCK_LENGTH,
 ) -> DataFrame:
     """Compute all ``features`` over ``panel``.
@@ -70,6 +71,8 @@ def trailing_features(
     or in ``keep_range`` (``every_key``: always). ``edges`` is a small table with
     one row per base period holding the arrays that ``Feature.edge`` refers to.
     ``carry`` adds the panel's own columns at the base periods of ``keep_range``.
+    ``keyed`` says that the panel is already hash-partitioned by its key, as
+    after a window over the key, so it is not shuffled again for that.
     """
     features = list(features)
     key = features[0].key
@@ -107,7 +110,7 @@ def trailing_features(
             # One marker row per key, without a period, keeps the key alive.
             rows = near.unionByName(rows.select(key).distinct(), allowMissingColumns=True)
 
-    group = [key]
+    group, blocks = [key], False
     if rolling:
         ranges = [(f.first_base, f.last_base) for f in features]
         ranges += [keep_range] if keep_range else []
@@ -129,7 +132,8 @@ def trailing_features(
             first = F.greatest(first, F.col(BLOCK) * block_length + start)
             last = F.least(last, F.col(BLOCK) * block_length + (start + block_length - 1))
             group = [key, BLOCK]
-    if clustered:
+    if clustered and (blocks or not (runs or keyed)):
+        # Windows over the key bring their own exchange, if one is needed.
         rows = rows.repartition(*group)
     if runs:
         rows = add_run_marks(rows, group, PERIOD, runs, names.values)

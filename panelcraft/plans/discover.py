@@ -128,6 +128,7 @@ def discover(
         edges=lookup,
         keep_range=kept_range,
         carry=own if rolling else (),
+        keyed=bool(ratios),
     )
     if drop_unbinned and bin_vars and not rolling:
         for f in bin_vars:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panelcraft.functions.columns import expression_column, predicate
 from panelcraft.operators.ratios import add_ratios
 from panelcraft.operators.trailing import trailing_features
-from panelcraft.spec import EXPRESSION, RATIO, RISING_STREAK, Feature
+from panelcraft.spec import EXPRESSION, RATIO, Feature
 
 
 def replay(
@@ -41,7 +41,7 @@ def replay(
     aggregates = [f for f in features if f.kind not in (RATIO, EXPRESSION)]
     if aggregates:
         table = trailing_features(
-            rows, aggregates, unique_periods=unique_periods, every_key=True
+            rows, aggregates, unique_periods=unique_periods, every_key=True, keyed=bool(ratios)
         )
     else:
         table = rows.where(F.col(key).isNotNull()).select(key).distinct()
@@ -67,7 +67,3 @@ def row_layer(
     return add_ratios(
         panel, [f for f in features if f.kind == RATIO], period_span=period_span
     )
-
-
-def has_zero_fill(features: Sequence[Feature]) -> bool:
-    return any(f.kind == RISING_STREAK for f in features)
