@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcraft.functions.columns import as_number
-from panelcraft.operators.ranks import select_ranks
+from panelcraft.operators.ranks import Copies, select_ranks
 from panelcraft.operators.trailing import BASE, trailing_features
 from panelcraft.spec import LOC_BIN, VAL_BIN, Feature
 
@@ -51,6 +51,17 @@ def _windows(f: Feature, period: Column) -> Column:
     return F.when(period.between(f.rows_from, f.rows_to), bases)
 
 
+def _edge_sets(f: Feature) -> Column:
+    """The (edge set, base period) groups of the feature that period ``p`` is in."""
+    groups = F.transform(
+        _windows(f, F.col("p")),
+        lambda base: F.struct(
+            F.lit(f.name).alias("edge_set"), F.lit(f.bins).alias("bins"), base.alias(BASE)
+        ),
+    )
+    return F.coalesce(groups, F.array())
+
+
 def _any_of(features: Sequence[Feature], period: Column) -> Column:
     return period.between(
         min(f.first_base - f.months + 1 for f in features), max(f.last_base for f in features)
@@ -65,42 +76,26 @@ def _rank_edges(panel: DataFrame, features: Sequence[Feature]) -> DataFrame:
             for i, c in enumerate(columns)
         ]
     )
-    # Equal values of a period collapse before they are copied to the windows.
-    counted = (
+    rows = (
         panel.where(F.col(features[0].key).isNotNull())
         .select(F.col(features[0].period).cast("int").alias("p"), F.explode(values).alias("t"))
         .select("p", "t.*")
-        .where(F.col("v").isNotNull() & _any_of(features, F.col("p")))
-        .groupBy("column", "p", "v")
-        .agg(F.count(F.lit(1)).alias("times"))
+        .where(_any_of(features, F.col("p")))
     )
-    sets = F.lit(None)
+    sets = F.array()
     for i, c in enumerate(columns):
-        of_column = F.array(
-            *[
-                F.struct(
-                    F.lit(f.name).alias("edge_set"),
-                    F.lit(f.bins).alias("bins"),
-                    _windows(f, F.col("p")).alias("bases"),
-                )
-                for f in features
-                if f.value == c
-            ]
-        )
+        of_column = F.concat(*[_edge_sets(f) for f in features if f.value == c])
         sets = F.when(F.col("column") == i, of_column).otherwise(sets)
-    counted = (
-        counted.withColumn("s", F.explode(sets))
-        .select("s.edge_set", "s.bins", F.explode("s.bases").alias(BASE), "v", "times")
-    )
     # Position i of nb is trunc(i * step) with step = (n-1)/nb, in doubles.
     wanted = select_ranks(
-        counted,
+        rows,
         ["edge_set", "bins", BASE],
         "v",
         lambda n: F.transform(
             F.sequence(F.lit(0), F.col("bins") - 1), lambda i: F.floor(i * ((n - 1) / F.col("bins")))
         ),
-        weight="times",
+        few_groups=True,
+        copies=Copies(["column"], ["p"], sets),
     )
     return wanted.select(
         "edge_set", BASE, F.col("position").alias("ordinal"), F.col("value").alias("edge")

@@ -99,7 +99,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.array(*[F.struct(F.lit(c).alias("var_name"), _number(c).alias("v")) for c in columns])
         ).alias("t")
     ).select("t.*")
-    medians = exact_medians(values, ["var_name"], "v").withColumnRenamed("median", "med")
+    medians = exact_medians(values, ["var_name"], "v", few_groups=True).withColumnRenamed("median", "med")
     return stats.join(medians, "var_name", "left").select(
         "var_name", "cnt", "cnt_isna", "pct_isna", "sum", "min", "max", "avg", "med"
     )
@@ -112,23 +112,20 @@ def safe_share(part: Column, whole: Column) -> Column:
 def range_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """P{q}_num = min + q% of (max - min), and P{q}_pct = share of rows at or above.
 
-    Null values count as above every point. The bounds come from a scalar
-    subquery with one row, so counting is a single pass over the table.
+    Null values count as above every point. The bounds are one row, looked up
+    first, so that counting is a single pass with constant thresholds.
     """
     columns = list(columns)
     bounds = df.agg(
         *[F.min(_number(c)).alias(f"low_{i}") for i, c in enumerate(columns)],
         *[F.max(_number(c)).alias(f"high_{i}") for i, c in enumerate(columns)],
-    )
-    edges = bounds.select(
-        F.struct(
-            *[
-                ((q / 100) * (F.col(f"high_{i}") - F.col(f"low_{i}")) + F.col(f"low_{i}")).alias(f"P{q}_num_{i}")
-                for i in range(len(columns))
-                for q in RANGE_POINTS
-            ]
-        ).alias("e")
-    ).scalar()
+    ).first()
+    edges = {}
+    for i in range(len(columns)):
+        low, high = bounds[f"low_{i}"], bounds[f"high_{i}"]
+        for q in RANGE_POINTS:
+            point = None if low is None else (q / 100) * (high - low) + low
+            edges[f"P{q}_num_{i}"] = F.lit(point).cast("double")
     fields = [f"P{q}_num" for q in RANGE_POINTS] + [f"P{q}_pct" for q in RANGE_POINTS]
     shares = df.agg(
         *[

@@ -10,6 +10,7 @@ partition is left to find.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,42 +18,70 @@ from pyspark.sql import functions as F
 from panelcraft.session import materialize
 
 
+@dataclass(frozen=True)
+class Copies:
+    """How one stored row stands for several groups.
+
+    Rows are kept by ``sort_columns`` and ``row_columns`` and ordered by
+    ``sort_columns`` and the value; ``groups`` is an array of the group structs
+    that a row belongs to, computed from those columns.
+    """
+
+    sort_columns: Sequence[str]
+    row_columns: Sequence[str]
+    groups: Column
+
+
 def select_ranks(
     values: DataFrame,
     groups: Sequence[str],
     value: str,
     ranks: Callable[[Column], Column],
-    weight: str | None = None,
+    *,
+    few_groups: bool = False,
+    copies: Copies | None = None,
 ) -> DataFrame:
     """The values at given 0-based ranks of each group, nulls left out.
 
     ``ranks`` maps the group's value count to an array of ranks. The result has
-    one row (groups..., ``position``, ``value``) per array element. ``weight``
-    names a column saying how often a row's value occurs (default: once).
+    one row (groups..., ``position``, ``value``) per array element.
+    ``few_groups`` says that groups x ranks is a small number by construction,
+    so the wanted positions may be broadcast. With ``copies`` a row belongs to
+    several groups; it is copied to them only after the range shuffle.
     """
     groups = list(groups)
-    times = F.sum(weight) if weight else F.count(F.lit(1))
+    stored = [*copies.sort_columns, *copies.row_columns] if copies else groups
+    sort_columns = list(copies.sort_columns) if copies else groups
     counted = (
         values.where(F.col(value).isNotNull())
-        .groupBy(*groups, F.col(value).alias("value"))
-        .agg(times.alias("_times"))
+        .groupBy(*stored, F.col(value).alias("value"))
+        .agg(F.count(F.lit(1)).alias("_times"))
     )
     placed = materialize(
-        counted.repartitionByRange(*groups, "value").withColumn("_part", F.spark_partition_id())
+        counted.repartitionByRange(*sort_columns, "value").withColumn(
+            "_part", F.spark_partition_id()
+        )
     )
 
+    sizes = placed.groupBy(*stored, "_part").agg(F.sum("_times").alias("_size"))
+    if copies:
+        sizes = (
+            sizes.select("_part", "_size", F.explode(copies.groups).alias("_group"))
+            .groupBy(*[F.col(f"_group.{g}").alias(g) for g in groups], "_part")
+            .agg(F.sum("_size").alias("_size"))
+        )
     in_order = Window.partitionBy(*groups).orderBy("_part")
     parts = (
-        placed.groupBy(*groups, "_part")
-        .agg(F.sum("_times").alias("_size"))
-        .withColumn("_before", F.sum("_size").over(in_order) - F.col("_size"))
+        sizes.withColumn("_before", F.sum("_size").over(in_order) - F.col("_size"))
         .withColumn("_n", F.sum("_size").over(Window.partitionBy(*groups)))
         .withColumn(
             "_wanted",
             F.filter(
                 F.transform(
                     ranks(F.col("_n")),
-                    lambda rank, i: F.struct(i.cast("int").alias("position"), rank.cast("long").alias("rank")),
+                    lambda rank, i: F.struct(
+                        i.cast("int").alias("position"), rank.cast("long").alias("rank")
+                    ),
                 ),
                 lambda t: (t["rank"] >= F.col("_before"))
                 & (t["rank"] < F.col("_before") + F.col("_size")),
@@ -62,9 +91,20 @@ def select_ranks(
         .select(*groups, "_part", "_before", "_wanted")
     )
 
-    running = Window.partitionBy(*groups, "_part").orderBy("value")
+    rows = placed
+    if few_groups:
+        rows = rows.join(F.broadcast(parts.select("_part").distinct()), "_part", "left_semi")
+        parts = F.broadcast(parts)
+    if copies:
+        rows = rows.select("_part", "value", "_times", F.explode(copies.groups).alias("_group"))
+        rows = rows.select("_part", "value", "_times", "_group.*")
+    running = (
+        Window.partitionBy(*groups, "_part")
+        .orderBy("value")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
     return (
-        placed.join(parts, [*groups, "_part"])
+        rows.join(parts, [*groups, "_part"])
         .withColumn("_upto", F.col("_before") + F.sum("_times").over(running))
         .withColumn(
             "_hit",
@@ -86,8 +126,8 @@ def middle_ranks(n: Column) -> Column:
 
 
 def exact_medians(
-    values: DataFrame, groups: Sequence[str], value: str, weight: str | None = None
+    values: DataFrame, groups: Sequence[str], value: str, *, few_groups: bool = False
 ) -> DataFrame:
     """(groups..., ``median``): midpoint median of each group with a value."""
-    picked = select_ranks(values, groups, value, middle_ranks, weight)
+    picked = select_ranks(values, groups, value, middle_ranks, few_groups=few_groups)
     return picked.groupBy(*groups).agg(F.avg("value").alias("median"))
