@@ -2,9 +2,9 @@
 
 A window function over a group would put that whole group on one task. Here
 the (group, value, count) table is range-partitioned by (group, value), so a
-large group spans many partitions; per-partition totals, a small table, say
-which partition holds a wanted rank, and only the position inside that
-partition is left to find.
+large group spans many partitions, and cut into short sorted stretches. Totals
+per stretch, a small table, say which stretch holds a wanted rank, and only the
+position inside that stretch is left to find.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 from panelcraft.session import materialize
 
+# Rows per stretch; a power of two, so that no stretch crosses a partition.
+STRETCH = 1 << 16
+
 
 @dataclass(frozen=True)
 class Copies:
@@ -57,10 +60,12 @@ def select_ranks(
         .groupBy(*stored, F.col(value).alias("value"))
         .agg(F.count(F.lit(1)).alias("_times"))
     )
+    # Row numbers follow the sort order, so a stretch of them is a stretch of
+    # values; stretches are short whatever the partitions' size.
     placed = materialize(
-        counted.repartitionByRange(*sort_columns, "value").withColumn(
-            "_part", F.spark_partition_id()
-        )
+        counted.repartitionByRange(*sort_columns, "value")
+        .sortWithinPartitions(*sort_columns, "value")
+        .withColumn("_part", F.expr(f"monotonically_increasing_id() div {STRETCH}"))
     )
 
     sizes = placed.groupBy(*stored, "_part").agg(F.sum("_times").alias("_size"))

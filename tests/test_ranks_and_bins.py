@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelcraft.operators.bins import bin_shares, threshold_share
+from panelcraft.operators import ranks
 from panelcraft.operators.ranks import exact_medians, select_ranks
 from panelcraft.spec import LOC_BIN, VAL_BIN
 from tests.helpers import SCHEMA, by_key, panel_rows, window
@@ -21,7 +22,9 @@ def panel(spark):
     return spark.createDataFrame(ROWS, SCHEMA).cache()
 
 
-def test_ranks_of_a_hot_group(spark):
+@pytest.mark.parametrize("stretch", [4, 256, 1 << 16])
+def test_ranks_of_a_hot_group(spark, monkeypatch, stretch):
+    monkeypatch.setattr(ranks, "STRETCH", stretch)
     rng = random.Random(1)
     groups = {
         "hot": [float(rng.randint(0, 900)) for _ in range(3000)],
@@ -62,7 +65,8 @@ def expected_edges(kind: str, base: int, months: int, bins: int) -> list[float]:
 
 @pytest.mark.parametrize("kind", [LOC_BIN, VAL_BIN])
 @pytest.mark.parametrize("bins", [3, 7])
-def test_bin_shares(panel, kind, bins):
+def test_bin_shares(panel, monkeypatch, kind, bins):
+    monkeypatch.setattr(ranks, "STRETCH", 8)
     for unique in (False, True):
         got = bin_shares(
             panel, "customer", "month", "a", 4, bins, 8, 12, kind=kind, unique_periods=unique
