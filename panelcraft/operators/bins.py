@@ -31,7 +31,9 @@ def bin_edges(panel: DataFrame, features: Sequence[Feature]) -> DataFrame:
     """Edges of bin features: (edge_set, base_period, ordinal, edge).
 
     ``edge_set`` is the feature's name. Ordinals count from 0; the topmost edge
-    (the maximum) is not a threshold and is left out.
+    (the maximum) is not a threshold and is left out. The edges are computed
+    now and held by the driver: bins x base periods rows per feature, whatever
+    the panel's size.
     """
     by_rank = [f for f in features if f.kind == LOC_BIN]
     by_width = [f for f in features if f.kind == VAL_BIN]
@@ -40,7 +42,9 @@ def bin_edges(panel: DataFrame, features: Sequence[Feature]) -> DataFrame:
         parts.append(_rank_edges(panel, by_rank))
     if by_width:
         parts.append(_width_edges(panel, by_width))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    columns = ("edge_set", BASE, "ordinal", "edge")
+    found = [tuple(r) for part in parts for r in part.select(*columns).collect()]
+    return panel.sparkSession.createDataFrame(sorted(found), EDGE_SCHEMA)
 
 
 def _windows(f: Feature, period: Column) -> Column:
