@@ -19,7 +19,7 @@ from panelcraft.functions.columns import as_number
 from panelcraft.plans.config import optional_text
 from panelcraft.plans.replay import replay
 from panelcraft.sources.documents import explode_rows, row_array, scalar
-from panelcraft.spec import CATEGORY, EXPRESSION, RATIO, STAT, Feature
+from panelcraft.spec import CATEGORY, EXPRESSION, RATIO, RISING_STREAK, STAT, STREAK, Feature
 
 STEP_PATH = "$.workflow_step"
 
@@ -77,13 +77,31 @@ def _problem(step: Step, document: Column, rows: Column) -> Column:
     bad_number = F.lit(False)
     for field in step.number_fields:
         bad_number = bad_number | F.exists(rows, _not_a_number(field))
+    repeated = F.lit(False)
+    for period in {f.period for f in step.features if f.kind in (RATIO, STREAK, RISING_STREAK)}:
+        places = F.filter(F.transform(rows, _place(step, period)), lambda p: p["period"].isNotNull())
+        repeated = repeated | (F.size(F.array_distinct(places)) < F.size(places))
     return (
         F.when(rows.isNull() | (F.size(rows) == 0), "no rows")
         .when(key, "missing key")
         .when(bad_number, "not a number")
+        .when(repeated, "repeated period")
     )
 
 
+def _place(step: Step, period: str) -> Callable[[Column], Column]:
+    """Key and period of a row: ratios and streaks need them to be unique."""
+    key = F.lit(None) if step.key_path else None
+    return lambda row: F.struct(
+        (_field(row, step.key_column) if key is None else key).alias("key"),
+        _period_number(_field(row, period)).alias("period"),
+    )
+
+
+def _period_number(column: Column) -> Column:
+    return as_number(column).try_cast("int")
+
+
 def _not_a_number(name: str) -> Callable[[Column], Column]:
     return lambda row: _field(row, name).isNotNull() & as_number(_field(row, name)).isNull()
 
@@ -162,9 +180,9 @@ def _part_features(usable: DataFrame, i: int, part: Step, base_period: int) -> D
     rows = rows.where(F.col("_key").isNotNull()).withColumn(
         "_request", F.struct("request_id", F.col("_key").alias("key"))
     )
-    features = [
-        replace(f, key="_request", period=f.period or None) for f in part.features
-    ]
+    periods = {f.period for f in part.features if f.period}
+    rows = rows.withColumns({p: _period_number(F.col(f"`{p}`")) for p in periods})
+    features = [replace(f, key="_request") for f in part.features]
     # A group is part of one document, so its rows are bounded by the document.
     table = replay(
         rows, features, base_period, key="_request", unique_periods=True, period_span=(0, 0)

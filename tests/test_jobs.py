@@ -21,7 +21,7 @@ from panelcraft.sources.tables import (
     read_panel,
     write_features,
 )
-from panelcraft.spec import CATEGORY, EXPRESSION, RATIO, STAT, Feature
+from panelcraft.spec import CATEGORY, EXPRESSION, RATIO, STAT, STREAK, Feature
 from panelcraft.streaming.online import Step, online_features, start_online
 from tests.helpers import SCHEMA, panel_rows
 
@@ -283,6 +283,26 @@ def test_online_parts_are_joined_and_keys_may_come_from_rows(spark):
     assert [tuple(r) for r in tables["201"].collect()] == [("r", "S1", 2.0, 4.0)]
 
 
+def test_online_windows_over_text_periods(spark):
+    """Periods are text in JSON; two and ten must not sort as text."""
+    data = [{"m": str(p), "v": str(v)} for p, v in ((9, 1), (10, 4), (11, 5), (12, 6), (2, 9))]
+    twice = [{"m": "12", "v": "1"}, {"m": "12.0", "v": "2"}]
+    docs = spark.createDataFrame(
+        [("ok", request(data=data)), ("twice", request(data=twice))], "request_id string, document string"
+    )
+    features = (
+        Feature("r", RATIO, "seqNo", "m", months=2, numerator=("v",), denominator=("v", "v")),
+        Feature("run", STREAK, "seqNo", "m", "v", 4, threshold=2.0),
+        Feature("total", STAT, "seqNo", "m", "v", 3, "np.sum"),
+        Feature("half", STREAK, "seqNo", "m", "r", 4, threshold=0.4),
+    )
+    step = Step("201", "$.data[*]", "seqNo", "$.seqNo", features)
+    tables, rejected = online_features(docs, [step], 12)
+    (row,) = tables["201"].collect()
+    assert (row["run"], row["total"], row["half"]) == (3, 15.0, 4)
+    assert [tuple(r) for r in rejected.collect()] == [("twice", "repeated period")]
+
+
 def test_stream_equals_batch(spark, requests, tmp_path):
     source = tmp_path / "in"
     source.mkdir()

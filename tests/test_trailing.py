@@ -208,3 +208,17 @@ def test_copies_are_made_after_the_shuffle_when_periods_are_unique(panel):
     plan, count = exchanges(trailing_features(panel, features))
     assert count == 1
     assert plan.index("Exchange") < plan.index("Generate")
+
+
+def test_a_panel_bucketed_by_key_is_not_shuffled(spark, panel):
+    panel.write.bucketBy(4, "customer").sortBy("customer").mode("overwrite").saveAsTable("bucketed_panel")
+    features = [
+        *[f.at(5, 12) for f in stat_features("customer", "month", "a", 6, numbered(), ("np.sum", "np.max"))],
+        Feature("above", STREAK, "customer", "month", "a", 6, threshold=2.0).at(5, 12),
+    ]
+    stored = spark.table("bucketed_panel")
+    for part in (features, features[:2]):
+        df = trailing_features(stored, part, unique_periods=True, keyed=True)
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        keys = ("customer", "base_period")
+        assert collected(df, keys) == collected(trailing_features(panel, part, unique_periods=True), keys)
