@@ -401,8 +401,8 @@ def replay_sql() -> str:
 REQUESTS = """requests AS (
   SELECT CAST(event_id AS VARCHAR) AS request_id, CAST(user_id AS VARCHAR) AS key,
     event_id, event_type, json_extract_string(props, '$.k') AS k,
-    CASE WHEN event_id % 25 = 7 THEN NULL ELSE CAST(round(value * 100) AS BIGINT) END AS cents,
-    event_id % 10 <> 3 AS has_step, event_id % 25 <> 7 AS is_number
+    CASE WHEN value < 200 THEN CAST(round(value * 100) AS BIGINT) END AS cents,
+    event_type <> 'error' AS has_step, value < 200 AS is_number
   FROM events)"""
 
 WORST_TO_BEST = "ZDG7654321N*C#/"
@@ -565,7 +565,7 @@ ORACLES = {
       FROM events
       UNION ALL
       SELECT CAST(event_id AS VARCHAR),
-        CASE WHEN event_id % 25 = 7 THEN 'n/a' ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END,
+        CASE WHEN value >= 200 THEN 'n/a' ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END,
         NULL, NULL
       FROM events""",
     "online_requests": f"""WITH {REQUESTS}

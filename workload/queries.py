@@ -499,11 +499,11 @@ def custom_expr(spark, sf_dir):
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON request per event; every tenth lacks a step, every 25th a number."""
-    number = F.when(F.col("event_id") % 25 == 7, F.lit("n/a")).otherwise(
+    """One JSON request per event; errors lack a step, large values a number."""
+    number = F.when(F.col("value") >= 200, F.lit("n/a")).otherwise(
         F.round(F.col("value") * 100).cast("long").cast("string")
     )
-    step = F.when(F.col("event_id") % 10 != 3, F.lit("201"))
+    step = F.when(F.col("event_type") != "error", F.lit("201"))
     row = lambda **fields: F.struct(*[v.alias(k) for k, v in fields.items()])
     data = F.array(
         row(case_id=F.col("event_id").cast("string"), some_number=F.get_json_object("props", "$.k"),
