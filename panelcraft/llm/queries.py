@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcraft.llm import chat, fertility, language, license_scan, quality
+from panelcraft.llm import chat, decontamination, fertility, language, license_scan, pii, quality
 from panelcraft.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,34 @@ def op1_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.fertility_filter(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def text_of(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(
+                spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+            ),
+            ",",
+        )
+
+    def count(kind: str) -> Column:
+        spans = F.filter("pii", lambda s: s["kind"] == kind)
+        return F.size(spans).cast("long").alias(f"n_{kind}")
+
+    base = [k.name for k in pii.KINDS if k.always]
+    return found.select(
+        "doc_id",
+        *[count(k.name) for k in pii.KINDS],
+        F.sha2(text_of(F.filter("pii", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        text_of(F.col("pii")).alias("spans"),
+    )
+
+
+ORACLES["op2_pii_spans"] = pii.sql()
+
+
 @query
 def op3_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.license_scan(table(spark, sf_dir, "documents"))
@@ -59,6 +87,23 @@ def op7_language_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op8_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+ORACLES["op8_positional_decontamination"] = decontamination.sql()
+
+
 @query
 def op9_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
