@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcraft.llm import chat, decontamination, fertility, language, license_scan, pii, quality
+from panelcraft.llm import (
+    chat,
+    decontamination,
+    fertility,
+    language,
+    license_scan,
+    near_duplicates,
+    packing,
+    pii,
+    quality,
+)
 from panelcraft.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +88,14 @@ def op4_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLES["op6_circulant_minhash"] = near_duplicates.sql()
+
+
 @query
 def op7_language_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -113,3 +131,8 @@ def op9_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id long, turn long, role string, text string",
     )
     return chat.digests(chat.format_conversations(rows.unionByName(probe)))
+
+
+@query
+def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
