@@ -17,6 +17,7 @@ from panelcraft.llm import (
     packing,
     pii,
     quality,
+    suffix_dedup,
 )
 from panelcraft.llm.common import fold, table
 
@@ -88,6 +89,19 @@ def op4_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op5_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    sizes = F.transform("removed", lambda s: (s["end"] - s["first"]).cast("long"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(sizes, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 @query
 def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
