@@ -1,15 +1,73 @@
-"""A corpus pipeline: each stage applies one operator to all that the stage before it kept."""
+"""A corpus pipeline: each stage applies one operator to all that the stage before it kept.
+
+Language ID, near duplicates, benchmark decontamination, personal data, packing.
+All stages but the last return the columns of their input.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelcraft.llm import decontamination, language, near_duplicates, packing, pii
+from panelcraft.llm.common import Stored, table
 
-STAGES: list = []
+#: Stages learn dictionaries and run Python per text: SQL cannot express the result.
 ORACLE_SQL: str | None = None
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language one dictionary names by more than a narrow margin."""
+    learned = language.learn_dictionaries(docs, F.lit(True))
+    plain = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(docs.columns)])
+    texts = plain.withColumn("text", F.col(f"_{docs.columns.index('text')}"))
+    found = language.identify(texts, learned).filter(~F.col("rejected"))
+    return found.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every group of near duplicates."""
+    found = near_duplicates.near_duplicates(docs.select("doc_id", "text"))
+    kept = found.filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    own = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
+    key = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    # A row that is there twice is one document.
+    return own.withColumn("__key", key).dropDuplicates(["doc_id", "__key"]).drop("__key")
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by benchmark items."""
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.filter(~F.col("contaminated")).select(*docs.columns)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind; n_chars follows the text."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in training sequences."""
+    return packing.pack(docs.select("doc_id", "text"))
+
+
+STAGES = [
+    ("language", known_language),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", decontaminated),
+    ("personal_data", without_personal_data),
+    ("packing", packed),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """The last stage's rows for the table documents; each stage's result is stored once."""
+    store = Stored(spark)
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES):
+            docs = store.put(name, docs)
+            if k > 1:
+                store.drop(STAGES[k - 2][0])
     return docs
