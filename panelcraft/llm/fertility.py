@@ -31,6 +31,8 @@ SYMBOLS = "#*$%&|<>"
 FIGURES = ("chars_per_token", "token_entropy", "byte_fallback_share")
 #: What a figure may lie outside the widened quartiles.
 SLACK = {"chars_per_token": 0.08, "token_entropy": 0.03, "byte_fallback_share": 0.02}
+#: Band tables of up to this many rows are sent to every executor; larger ones are joined by key.
+MOST_SENT = 10_000
 #: Longer stretches without a break are cut before encoding; keeps the merge loop near linear.
 LONGEST_STRETCH = 2_000
 _STRETCH = re.compile(r"\s{%d,}|\S{%d,}" % (LONGEST_STRETCH, LONGEST_STRETCH))
@@ -204,7 +206,10 @@ def fertility_filter(
     stats = store.put("fertility", measured(docs, bpe_path, piece_path)).withColumn("band", band)
     quartiles = [F.percentile_approx(f, [0.25, 0.75], 1000).alias(f) for f in FIGURES]
     overall = stats.agg(*quartiles).select(*_limits(width)).first()  # six numbers
-    joined = stats.join(bands(stats, width, least), "band", "left")
+    limits = store.put("bands", bands(stats, width, least))
+    if limits.count() <= MOST_SENT:
+        limits = F.broadcast(limits)
+    joined = stats.join(limits, "band", "left")
     outside = F.lit(False)
     for f in FIGURES:
         low = F.coalesce(f"{f}_low", F.lit(overall[f"{f}_low"]))

@@ -169,7 +169,7 @@ def _by_doubling(s: np.ndarray) -> np.ndarray:
     """Order of the suffixes of a string with a large alphabet: ranks of ever longer prefixes."""
     rank, step = s.astype(np.int64), 1
     while True:
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank)
         ranked = rank[order]
         fresh = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
         rank = np.empty_like(fresh)
@@ -320,10 +320,13 @@ def shard_spans(
     common = plcp(joined, places, length)
     group = np.cumsum(common[places] < length)
     who = owner[places]
-    key = np.stack([group, h[who], before[who] - offset[places]], axis=1)
-    _, slot = np.unique(key, axis=0, return_inverse=True)
-    total = np.bincount(slot.ravel(), weights=n[who])
-    hit = np.sort(places[total[slot.ravel()] >= 2])
+    named = np.unique(h, return_inverse=True)[1]
+    key = (group * (named.max() + 1) + named[who]) * length + before[who] - offset[places]
+    order = np.argsort(key)
+    first = np.concatenate([[0], np.flatnonzero(np.diff(key[order])) + 1])
+    total = np.add.reduceat(n[who[order]], first)
+    again = np.repeat(total >= 2, np.diff(np.append(first, len(order))))
+    hit = np.sort(places[order[again]])
     out: list[list[dict]] = [[] for _ in raws]
     if not len(hit):
         return out
