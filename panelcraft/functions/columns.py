@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ast
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -47,14 +47,36 @@ def period_index(timestamp: Column, unit: str) -> Column:
 def predicate(text: str) -> Column:
     """A user's row filter such as ``month_nbr > 1 and amt != 0``.
 
-    ``and``, ``or``, ``not`` and ``==`` mean the same in Spark SQL. The
-    bitwise spellings bind differently there, so they are refused.
+    Comparisons (also chained, ``in [..]`` and ``not in [..]``), ``and``,
+    ``or``, ``not`` and arithmetic over columns, numbers and text. A column
+    whose name is no identifier stands in backticks. A missing value makes a
+    comparison false, but satisfies ``!=`` and ``not in``; ``not`` then turns
+    either round, so a filter is never null.
+
+    The text is parsed to a tree of these parts and never evaluated. The
+    bitwise spellings bind differently from and/or/not, so they are refused.
     """
-    outside_literals = re.sub(r"'[^']*'|\"[^\"]*\"", "", text)
-    if re.search(r"[&|~]", outside_literals):
-        raise ValueError(f"write and/or/not instead of &, |, ~ in filter {text!r}")
-    quoted = re.sub(r'"([^"]*)"', r"'\1'", text)
-    return F.expr(quoted)
+    quoted: dict[str, str] = {}
+
+    def plain_name(found: re.Match) -> str:
+        if found[0][0] != "`":
+            return found[0]
+        return quoted.setdefault(found[0], f"_quoted_{len(quoted)}")
+
+    spelled = re.sub(r"'[^']*'|\"[^\"]*\"|`[^`]+`", plain_name, text.strip())
+    # A lone = means ==.
+    spelled = re.sub(r"('[^']*'|\"[^\"]*\")|(?<![=!<>])=(?!=)", lambda m: m[1] or "==", spelled)
+    names = {v: k[1:-1] for k, v in quoted.items()}
+
+    def value(node: ast.AST) -> Column | None:
+        match node:
+            case ast.Name(id=name):
+                return F.col("`" + names.get(name, name) + "`")
+            case ast.Constant(value=str() | bool() as constant):
+                return F.lit(constant)
+        return None
+
+    return _Tree(text, value).test(_parsed(text, spelled))
 
 
 def keyword_flag(column: Column, words: Sequence[str], method: str = "equal") -> Column:
@@ -77,42 +99,121 @@ def keyword_flag(column: Column, words: Sequence[str], method: str = "equal") ->
     return F.coalesce(hit.cast("int"), F.lit(0))
 
 
+def _modulo(a: Column, b: Column) -> Column:
+    """Remainder with the sign of the divisor; null for a zero divisor."""
+    rest = F.try_mod(a, b)
+    return F.when((rest != 0) & ((rest < 0) != (b < 0)), rest + b).otherwise(rest)
+
+
+def _floor_division(a: Column, b: Column) -> Column:
+    return F.floor(safe_ratio(a, b)).cast("double")
+
+
 _ARITHMETIC = {
     ast.Add: lambda a, b: a + b,
     ast.Sub: lambda a, b: a - b,
     ast.Mult: lambda a, b: a * b,
     ast.Div: safe_ratio,
-    ast.Mod: lambda a, b: F.try_mod(a, b),
+    ast.FloorDiv: _floor_division,
+    ast.Mod: _modulo,
     ast.Pow: lambda a, b: F.pow(a, b),
 }
 
+_COMPARISONS = {
+    ast.Eq: lambda a, b: a == b,
+    ast.NotEq: lambda a, b: a != b,
+    ast.Lt: lambda a, b: a < b,
+    ast.LtE: lambda a, b: a <= b,
+    ast.Gt: lambda a, b: a > b,
+    ast.GtE: lambda a, b: a >= b,
+}
 
-def expression_column(text: str, allowed: Iterable[str]) -> Column:
-    """Column for arithmetic over finished features: ``df["a"] + 2 * df["b"]``.
 
-    The text is never evaluated: only column references, numbers and
-    arithmetic pass, and only columns in ``allowed`` may be read.
+def _parsed(text: str, spelled: str | None = None) -> ast.AST:
+    try:
+        return ast.parse((text if spelled is None else spelled).strip(), mode="eval").body
+    except SyntaxError as problem:
+        raise ValueError(f"cannot read expression {text!r}") from problem
+
+
+class _Tree:
+    """Builds columns from the allowed parts of an expression's syntax tree.
+
+    ``leaf`` gives the column of a name or constant, or None if it knows none.
     """
-    allowed = set(allowed)
 
-    def build(node: ast.AST) -> Column:
+    def __init__(self, text: str, leaf: Callable[[ast.AST], Column | None]):
+        self.text, self.leaf = text, leaf
+
+    def value(self, node: ast.AST) -> Column:
+        found = self.leaf(node)
+        if found is not None:
+            return found
         match node:
-            case ast.Expression(body=body):
-                return build(body)
             case ast.BinOp(left=left, op=op, right=right) if type(op) in _ARITHMETIC:
-                return _ARITHMETIC[type(op)](build(left), build(right))
+                return _ARITHMETIC[type(op)](self.value(left), self.value(right))
             case ast.UnaryOp(op=ast.USub(), operand=operand):
-                return -build(operand)
+                return -self.value(operand)
             case ast.UnaryOp(op=ast.UAdd(), operand=operand):
-                return build(operand)
+                return self.value(operand)
             case ast.Constant(value=bool()):
                 pass
             case ast.Constant(value=int() | float() as number):
                 return F.lit(float(number))
+            case ast.Compare():
+                return self.test(node).cast("double")
+            case ast.Call(
+                func=ast.Attribute(value=inner, attr="fillna"), args=[ast.Constant() as filler], keywords=[]
+            ):
+                return F.coalesce(self.value(inner), self.value(filler))
+        raise ValueError(f"unsupported expression {self.text!r}")
+
+    def test(self, node: ast.AST) -> Column:
+        """A condition that is true or false, never null."""
+        match node:
+            case ast.BoolOp(op=op, values=values):
+                join = (lambda a, b: a & b) if isinstance(op, ast.And) else (lambda a, b: a | b)
+                return reduce(join, map(self.test, values))
+            case ast.UnaryOp(op=ast.Not(), operand=operand):
+                return ~self.test(operand)
+            case ast.Compare(left=left, ops=ops, comparators=rights):
+                terms = zip([left, *rights], ops, rights, strict=False)
+                return reduce(lambda a, b: a & b, [self._compared(*t) for t in terms])
+            case ast.BinOp(op=ast.BitAnd() | ast.BitOr()) | ast.UnaryOp(op=ast.Invert()):
+                raise ValueError(f"write and/or/not instead of &, |, ~ in filter {self.text!r}")
+            case ast.Name() | ast.Constant(value=bool()):
+                return F.coalesce(self.value(node).cast("boolean"), F.lit(False))
+        raise ValueError(f"unsupported filter {self.text!r}")
+
+    def _compared(self, left: ast.AST, op: ast.cmpop, right: ast.AST) -> Column:
+        if isinstance(op, ast.In | ast.NotIn):
+            if not isinstance(right, ast.List | ast.Tuple):
+                raise ValueError(f"expected a list after in: {self.text!r}")
+            inside = F.coalesce(
+                self.value(left).isin([self.value(e) for e in right.elts]), F.lit(False)
+            )
+            return ~inside if isinstance(op, ast.NotIn) else inside
+        if type(op) not in _COMPARISONS:
+            raise ValueError(f"unsupported comparison in {self.text!r}")
+        missing = F.lit(isinstance(op, ast.NotEq))
+        return F.coalesce(_COMPARISONS[type(op)](self.value(left), self.value(right)), missing)
+
+
+def expression_column(text: str, allowed: Iterable[str]) -> Column:
+    """Column for an expression over finished features: ``df["a"] + 2 * df["b"]``.
+
+    Arithmetic, comparisons (1 or 0) and ``.fillna(number)``. The text is never
+    evaluated: only these parts, column references and numbers pass, and only
+    columns in ``allowed`` may be read.
+    """
+    allowed = set(allowed)
+
+    def value(node: ast.AST) -> Column | None:
+        match node:
             case ast.Subscript(value=ast.Name(id="df"), slice=ast.Constant(value=str() as name)):
                 if name not in allowed:
                     raise ValueError(f"unknown column {name!r} in expression {text!r}")
                 return F.col(f"`{name}`").cast("double")
-        raise ValueError(f"unsupported expression {text!r}")
+        return None
 
-    return build(ast.parse(text.strip(), mode="eval"))
+    return _Tree(text, value).value(_parsed(text))

@@ -64,6 +64,41 @@ def _in_any_window(f: Feature, period):
     return inside
 
 
+def category_shares_long(
+    panel: DataFrame,
+    key: str,
+    period: str,
+    value: str,
+    months: int,
+    first_base: int,
+    last_base: int | None = None,
+) -> DataFrame:
+    """(key, base_period, category, cnt, pct) for any number of categories.
+
+    One row per category that occurs in the window, so nothing is listed
+    beforehand. Shares are of all rows of the window, those without a value
+    included, which have a row with a null category. Rows are counted per (key,
+    period, category) before they are copied to their base periods.
+    """
+    last_base = first_base if last_base is None else last_base
+    at = F.col(f"`{period}`")
+    counted = (
+        panel.where(F.col(f"`{key}`").isNotNull() & at.between(first_base - months + 1, last_base))
+        .groupBy(F.col(f"`{key}`"), at.cast("int").alias("_period"), F.col(f"`{value}`").cast("string").alias("category"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    bases = F.sequence(
+        F.greatest(F.col("_period"), F.lit(first_base)),
+        F.least(F.col("_period") + (months - 1), F.lit(last_base)),
+    )
+    copied = counted.withColumn("base_period", F.explode(bases))
+    shares = copied.groupBy(F.col(f"`{key}`"), "base_period", "category").agg(F.sum("_rows").alias("cnt"))
+    totals = copied.groupBy(F.col(f"`{key}`"), "base_period").agg(F.sum("_rows").alias("_total"))
+    return shares.join(totals, [key, "base_period"]).select(
+        f"`{key}`", "base_period", "category", "cnt", (F.col("cnt") / F.col("_total")).alias("pct")
+    )
+
+
 def category_shares(
     panel: DataFrame,
     key: str,

@@ -32,9 +32,11 @@ def add_ratios(
 
     A window counts rows, not periods, unless ``frame="period"``. The panel
     must hold one row per (key, period); repeated rows raise an error, since
-    their order would decide the answer. ``period_span`` states the panel's
-    period range and so bounds a key's rows; without it the range is looked up.
-    Longer histories are cut into overlapping stretches.
+    their order would decide the answer. Rows without a period keep their place
+    in the result, have null ratios and count in no window. ``period_span``
+    states the panel's period range and so bounds a key's rows; without it the
+    range is looked up. Longer histories are cut into overlapping stretches,
+    which changes no result.
     """
     features = list(features)
     if not features:
@@ -45,12 +47,14 @@ def add_ratios(
     if period_span is None:
         low, high = panel.agg(F.min(period), F.max(period)).first()
         period_span = (0, 0) if low is None else (int(low), int(high))
-    back = max(f.months for f in features) - 1
-    rows, group, order = panel.where(F.col(key).isNotNull()), [key], F.col(period)
+    # At least one row before a stretch: it shows a period repeated across the cut.
+    back = max(1, *(f.months - 1 for f in features))
+    known = panel.where(F.col(key).isNotNull())
+    rows, group, order = known, [key], F.col(period)
     split = period_span[1] - period_span[0] >= longest_history
     if split:
         cut = _by_row_number if frame == "rows" else _by_period
-        rows = cut(rows, key, period, longest_history, back)
+        rows = cut(known.where(F.col(period).isNotNull()), key, period, max(longest_history, 2 * back), back)
         group = [key, "_stretch"]
 
     ordered = Window.partitionBy(*group).orderBy(order)
@@ -65,7 +69,8 @@ def add_ratios(
             if frame == "rows"
             else ordered.rangeBetween(-(months - 1), 0)
         )
-        added[name] = moving_sum(as_number(F.col(f"`{c}`")), window, months)
+        dated = F.when(F.col(period).isNotNull(), as_number(F.col(f"`{c}`")))
+        added[name] = moving_sum(dated, window, months)
     rows = rows.withColumns(added).withColumn("_twin", F.lag(period).over(ordered) == F.col(period))
     if split:
         rows = rows.where("_own")
@@ -74,7 +79,7 @@ def add_ratios(
         return " + ".join(f"coalesce({sums[c, months]}, 0D)" for c in columns)
 
     repeated = "raise_error('ratios need one row per key and period')"
-    return rows.select(
+    made = rows.select(
         *[f"`{c}`" for c in panel.columns],
         *[
             F.expr(
@@ -85,6 +90,9 @@ def add_ratios(
             for f in features
         ],
     )
+    if split:
+        made = made.unionByName(known.where(F.col(period).isNull()), allowMissingColumns=True)
+    return made
 
 
 def _by_period(rows: DataFrame, key: str, period: str, length: int, back: int) -> DataFrame:
@@ -121,8 +129,6 @@ def _with_context(
     rows: DataFrame, stretch: Column, offset: Column, length: int, back: int
 ) -> DataFrame:
     """Rows with ``_stretch`` and ``_own``; a stretch's last rows also open the next."""
-    if back >= length:
-        raise ValueError("the window is longer than a history stretch")
     copies = F.when(
         offset >= length - back,
         F.array(F.struct(stretch.alias("s"), F.lit(True).alias("own")),

@@ -26,6 +26,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelcraft.functions.columns import as_number, predicate
 from panelcraft.operators.ranks import exact_medians
@@ -48,8 +49,6 @@ PERIOD = "_period"
 
 # A group with more rows than this never has its median taken by one task.
 HOT_ROWS = 1_000_000
-# At most this many such groups are broadcast, a few dozen bytes each.
-MAX_HOT_GROUPS = 500_000
 
 
 def trailing_features(
@@ -63,6 +62,7 @@ def trailing_features(
     carry: Sequence[str] = (),
     keyed: bool = False,
     block_length: int = BLOCK_LENGTH,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Compute all ``features`` over ``panel``.
 
@@ -72,7 +72,8 @@ def trailing_features(
     one row per base period holding the arrays that ``Feature.edge`` refers to.
     ``carry`` adds the panel's own columns at the base periods of ``keep_range``.
     ``keyed`` says that the panel is already hash-partitioned by its key, as
-    after a window over the key, so it is not shuffled again for that.
+    after a window over the key, so it is not shuffled again for that. Groups of
+    more than ``hot_rows`` rows get their medians by rank selection.
     """
     features = list(features)
     key = features[0].key
@@ -90,9 +91,14 @@ def trailing_features(
     clustered = bool(runs) or (unique_periods and rolling)
 
     names = _Names(features, rolling)
-    rows = panel.where(F.col(key).isNotNull()).select(
+    own_period = F.col(f"`{period}`") if period else None
+    if period and not isinstance(panel.schema[period].dataType, T.IntegralType):
+        own_period = own_period.cast("int")
+    # Compared in the source's own type, so that the range reaches the scan.
+    near = panel.where(_any_window(features, keep_range, own_period)) if period else panel
+    columns = [
         F.col(f"`{key}`"),
-        *([F.col(f"`{period}`").cast("int").alias(PERIOD)] if period else []),
+        *([own_period.cast("int").alias(PERIOD)] if period else []),
         *[as_number(F.col(f"`{c}`")).alias(n) for c, n in names.values.items()],
         *[
             F.coalesce(F.col(f"`{c}`") == F.lit(v), F.lit(False)).alias(n)
@@ -100,15 +106,14 @@ def trailing_features(
         ],
         *[F.coalesce(predicate(w), F.lit(False)).alias(n) for w, n in names.filters.items()],
         *[F.col(f"`{c}`").alias(f"_own_{i}") for i, c in enumerate(carry)],
-    )
-
-    if period:
-        near = rows.where(_any_window(features, keep_range))
-        if not every_key:
-            rows = near
-        elif rolling or clustered:
-            # One marker row per key, without a period, keeps the key alive.
-            rows = near.unionByName(rows.select(key).distinct(), allowMissingColumns=True)
+    ]
+    known = F.col(f"`{key}`").isNotNull()
+    marked = every_key and (rolling or clustered)
+    rows = (panel if every_key and not marked else near).where(known).select(*columns)
+    if period and marked:
+        # One marker row per key, without a period, keeps the key alive.
+        alive = panel.where(known).select(f"`{key}`").distinct()
+        rows = rows.unionByName(alive, allowMissingColumns=True)
 
     group, blocks = [key], False
     if rolling:
@@ -156,7 +161,7 @@ def trailing_features(
         found = _group_medians(rows, group, medians, names)
         result = result.join(found, group, "left") if aggregates else found
     elif medians:
-        found = _medians(rows, group, medians, names)
+        found = _medians(rows, group, medians, names, hot_rows)
         result = result.join(found, group, "left") if aggregates else found
     out_keys = [key, BASE] if rolling else [key]
     return result.select(
@@ -203,7 +208,9 @@ class _Names:
         return f"coalesce({' AND '.join(terms)}, false)" if terms else "true"
 
 
-def _any_window(features: Sequence[Feature], keep_range: tuple[int, int] | None) -> Column:
+def _any_window(
+    features: Sequence[Feature], keep_range: tuple[int, int] | None, period: Column
+) -> Column:
     """Rows that can count for some feature, as few range conditions as possible."""
     spans = {keep_range} if keep_range else set()
     for f in features:
@@ -224,7 +231,7 @@ def _any_window(features: Sequence[Feature], keep_range: tuple[int, int] | None)
             merged[-1] = (merged[-1][0], max(merged[-1][1], high))
         else:
             merged.append((low, high))
-    ranges = [F.col(PERIOD).between(low, high) for low, high in merged]
+    ranges = [period.between(low, high) for low, high in merged]
     return reduce(lambda a, b: a | b, ranges) if ranges else F.lit(False)
 
 
@@ -340,28 +347,24 @@ def _group_medians(
 
 
 def _medians(
-    rows: DataFrame, keys: list[str], features: Sequence[Feature], names: _Names
+    rows: DataFrame, keys: list[str], features: Sequence[Feature], names: _Names, hot_rows: int
 ) -> DataFrame:
-    """Medians of groups of any size.
+    """Medians of groups of any size, one row per group of ``rows``.
 
-    A median holds its group's values in memory, so groups over ``HOT_ROWS``
-    rows go through rank selection. Which ones these are is looked up first;
-    their number is checked before they are broadcast, and beyond the limit
-    every group is rank-selected.
+    A median holds its group's values in memory, so groups over ``hot_rows``
+    rows go through rank selection. Which ones these are is looked up first. A
+    group without a value has no rank, so all groups are kept by a join.
     """
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.where(F.col("_rows") > HOT_ROWS).select(*keys)
-    found = hot.limit(MAX_HOT_GROUPS + 1).count()
-    if found == 0:
+    hot = sizes.where(F.col("_rows") > hot_rows).select(*keys)
+    if hot.isEmpty():
         return _group_medians(rows, keys, features, names)
-    if found > MAX_HOT_GROUPS:
-        return _ranked_medians(rows, keys, features, names)
-    hot = F.broadcast(hot)
     small = rows.join(hot, keys, "left_anti")
     large = rows.join(hot, keys, "left_semi")
-    return _group_medians(small, keys, features, names).unionByName(
+    found = _group_medians(small, keys, features, names).unionByName(
         _ranked_medians(large, keys, features, names)
     )
+    return sizes.select(*keys).join(found, keys, "left")
 
 
 def _ranked_medians(

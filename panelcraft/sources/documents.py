@@ -16,7 +16,8 @@ def read_documents(spark: SparkSession, path: str, *, one_per_line: bool = False
     """Documents as (request_id, document): one per file, or one per line.
 
     The id is the file name; with one per line the document's own digest is
-    added, so that a re-read gives the same ids.
+    added, so that a re-read gives the same ids. Equal lines of a file share
+    their id: they are one request, which the online job answers once.
     """
     text = spark.read.text(path, wholetext=not one_per_line)
     name = F.input_file_name()

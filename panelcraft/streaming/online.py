@@ -115,10 +115,15 @@ def split_requests(
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Usable requests per workflow step, and rejected (request_id, reason) rows.
 
-    ``requests`` has the columns request_id and document. Each usable table
+    ``requests`` has the columns request_id and document. A document that comes
+    twice under one id is one request, answered once; different documents under
+    one id are told apart by their digest and never merge. Each usable table
     carries one parsed ``_rows_i`` column per configuration row of the step.
     """
     document = F.col("document")
+    requests = requests.select(
+        "request_id", "document", F.sha2("document", 256).alias("_digest")
+    ).dropDuplicates(["request_id", "_digest"])
     by_step: dict[str, list[Step]] = {}
     for step in steps:
         by_step.setdefault(step.workflow_step, []).append(step)
@@ -135,8 +140,8 @@ def split_requests(
         # before the parse, where each of them would parse the document again.
         mine = (
             tagged.where(F.col("_step") == name)
-            .select("request_id", "document", F.explode(F.array(parsed)).alias("_parsed"))
-            .select("request_id", "document", "_parsed.*")
+            .select("request_id", "_digest", "document", F.explode(F.array(parsed)).alias("_parsed"))
+            .select("request_id", "_digest", "document", "_parsed.*")
         )
         mine = mine.withColumn(
             "_problem",
@@ -168,17 +173,20 @@ def step_features(usable: DataFrame, parts: Sequence[Step], base_period: int) ->
     if len(set(names)) < len(names):
         raise ValueError("two dictionaries of a step define the same variable")
     tables = [_part_features(usable, i, p, base_period) for i, p in enumerate(parts)]
-    return reduce(lambda a, b: a.join(b, ["request_id", "key"]), tables)
+    joined = reduce(lambda a, b: a.join(b, ["request_id", "_digest", "key"]), tables)
+    return joined.drop("_digest")
 
 
 def _part_features(usable: DataFrame, i: int, part: Step, base_period: int) -> DataFrame:
     key = scalar(F.col("document"), part.key_path) if part.key_path else F.lit(None).cast("string")
-    documents = usable.select("request_id", key.alias("_key"), F.col(f"_rows_{i}").alias("_rows"))
-    rows = explode_rows(documents, F.col("_rows"), part.fields, keep=("request_id", "_key"))
+    documents = usable.select(
+        "request_id", "_digest", key.alias("_key"), F.col(f"_rows_{i}").alias("_rows")
+    )
+    rows = explode_rows(documents, F.col("_rows"), part.fields, keep=("request_id", "_digest", "_key"))
     if part.key_path is None:
         rows = rows.withColumn("_key", F.col(f"`{part.key_column}`"))
     rows = rows.where(F.col("_key").isNotNull()).withColumn(
-        "_request", F.struct("request_id", F.col("_key").alias("key"))
+        "_request", F.struct("request_id", "_digest", F.col("_key").alias("key"))
     )
     periods = {f.period for f in part.features if f.period}
     rows = rows.withColumns({p: _period_number(F.col(f"`{p}`")) for p in periods})
@@ -188,7 +196,7 @@ def _part_features(usable: DataFrame, i: int, part: Step, base_period: int) -> D
         rows, features, base_period, key="_request", unique_periods=True, period_span=(0, 0)
     )
     kept = [f.name for f in part.features if f.kind != RATIO]
-    return table.select("_request.request_id", "_request.key", *[f"`{n}`" for n in kept])
+    return table.select("_request.*", *[f"`{n}`" for n in kept])
 
 
 def online_features(

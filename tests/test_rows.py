@@ -173,11 +173,65 @@ def test_uniqueness(panel):
 def test_predicates(spark):
     df = spark.createDataFrame([(1, "x"), (2, "y"), (None, "y")], "m int, t string")
     assert df.where(predicate('m > 1 and t == "y"')).count() == 1
-    assert df.where(predicate("not m > 1 or t = 'a|b'")).count() == 1
+    assert df.where(predicate("not m > 1 or t = 'a|b'")).count() == 2  # a null is not over 1
     with pytest.raises(ValueError, match="and/or/not"):
         predicate("(m > 1) & (m < 3)")
 
 
+def test_filters_with_nulls(spark):
+    df = spark.createDataFrame([(None,), (0.0,), (5.0,)], "amt double")
+
+    def kept(text):
+        return [r[0] for r in df.where(predicate(text)).collect()]
+
+    assert kept("amt != 0") == [None, 5.0]
+    assert kept("not (amt > 3)") == [None, 0.0]
+    assert kept("amt in [0, 7]") == [0.0]
+    assert kept("amt not in [0, 7]") == [None, 5.0]
+    assert kept("-1 < amt < 3") == [0.0]
+    assert kept("not -1 < amt < 3") == [None, 5.0]
+    assert kept("`amt` * 2 - 1 >= 9") == [5.0]
+    refused = ("reflect('java.lang.System', 'exit')", "amt.sum() > 1", "amt is None", "f(amt)", "1 +", "amt > 0; 1")
+    for text in refused:
+        with pytest.raises(ValueError):
+            predicate(text)
+
+
+def test_more_expressions(spark):
+    df = spark.createDataFrame([(-7.0, 3.0), (7.0, -3.0), (None, 0.0)], "a double, b double")
+
+    def run(text):
+        return [r[0] for r in df.select(expression_column(text, df.columns)).collect()]
+
+    assert run('df["a"] % df["b"]') == [2.0, -2.0, None]
+    assert run('df["a"] // df["b"]') == [-3.0, -3.0, None]
+    assert run('df["a"] > 0') == [0.0, 1.0, 0.0]
+    assert run('df["a"] != 7') == [1.0, 0.0, 1.0]
+    assert run('df["a"].fillna(1) + (0 < df["b"] < 9)') == [-6.0, 7.0, 1.0]
+    for text in ('df["a"].fillna(df["b"])', 'df["a"].abs()', 'df["a"].fillna(value=1)'):
+        with pytest.raises(ValueError):
+            expression_column(text, df.columns)
+
+
+def test_both_ratio_paths_agree(spark):
+    """Null periods, repeats at a stretch end, and windows longer than a stretch."""
+    rows = [("k", p, float(p), 1.0) for p in range(1, 30)] + [("k", None, 9.0, 9.0), ("j", None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "customer string, month int, a double, b double")
+    for months in (1, 2, 5, 12):
+        ratio = [Feature("r", RATIO, "customer", "month", months=months, numerator=("a",), denominator=("a", "b"))]
+        for frame in ("rows", "period"):
+            short = sorted(map(str, add_ratios(df, ratio, frame=frame).collect()))
+            cut = sorted(map(str, add_ratios(df, ratio, frame=frame, longest_history=4).collect()))
+            assert short == cut
+            assert len(cut) == len(rows)
+    for month in (4, 5, 8, 29):
+        twice = df.unionByName(df.where(f"month = {month}"))
+        ratio = [Feature("r", RATIO, "customer", "month", months=1, numerator=("a",), denominator=("a", "b"))]
+        for options in ({}, {"longest_history": 4}):
+            with pytest.raises(Exception, match="one row per key and period"):
+                add_ratios(twice, ratio, **options).collect()
+
+
 def test_expressions(spark):
     df = spark.createDataFrame([(6.0, 2.0), (1.0, 0.0)], "`var_1` double, `var_2` double")
     names = df.columns

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import pytest
 
-from panelcraft.operators import trailing
 from panelcraft.operators.trailing import trailing_features
 from panelcraft.spec import (
     CATEGORY,
@@ -87,13 +86,18 @@ def test_no_period_column_means_one_window(panel):
             assert got[(k,)][func] == approx(value)
 
 
-def test_medians_of_hot_groups_by_rank_selection(panel, monkeypatch):
+def test_medians_of_hot_groups_by_rank_selection(panel):
     features = [f.at(5, 12) for f in stat_features("customer", "month", "a", 6, iter(STAT_FUNCS))]
     plain = collected(trailing_features(panel, features), ("customer", "base_period"))
-    for hot_rows, most in ((3, 500), (0, 500), (0, 2)):
-        monkeypatch.setattr(trailing, "HOT_ROWS", hot_rows)
-        monkeypatch.setattr(trailing, "MAX_HOT_GROUPS", most)
-        assert collected(trailing_features(panel, features), ("customer", "base_period")) == plain
+    medians = [f for f in features if f.func == "np.median"]
+    alone = collected(trailing_features(panel, medians), ("customer", "base_period"))
+    assert alone.keys() == plain.keys()
+    for hot_rows in (3, 0):
+        again = trailing_features(panel, features, hot_rows=hot_rows)
+        assert collected(again, ("customer", "base_period")) == plain
+        # Groups of nulls only have no rank, but stay.
+        again = trailing_features(panel, medians, hot_rows=hot_rows)
+        assert collected(again, ("customer", "base_period")) == alone
 
 
 def half(func, values):

@@ -427,6 +427,16 @@ def _long_windows() -> str:
     return ", ".join(parts)
 
 
+def _ratio_over(months: int) -> str:
+    """Orders over orders and cents, each summed over the last rows with a full window."""
+    window = f"OVER (PARTITION BY o_custkey ORDER BY month ROWS {months - 1} PRECEDING)"
+
+    def total(c: str) -> str:
+        return f"coalesce(CASE WHEN count({c}) {window} = {months} THEN sum({c}) {window} END, 0)"
+
+    return f"{total('orders')} / nullif({total('orders')} + {total('cents')}, 0)"
+
+
 ORACLES = {
     "panel_user_day": with_panel("SELECT * FROM user_day"),
     "panel_filter": with_panel(
@@ -578,4 +588,59 @@ ORACLES = {
     "online_rejects": f"""WITH {REQUESTS}
       SELECT request_id, CASE WHEN NOT has_step THEN 'missing workflow step' ELSE 'not a number' END AS reason
       FROM requests WHERE NOT has_step OR NOT is_number""",
+    "panel_filter_nulls": with_panel(
+        "SELECT * FROM user_day WHERE (amt2 IS NULL OR amt2 <> 0) AND (amt2 IS NULL OR amt2 <= 5000) "
+        "AND day > 3 AND day <= 20 AND cat IN ('click', 'view', 'purchase')"
+    ),
+    "combo_ratio_long_history": f"""WITH {CUSTOMER_MONTH} SELECT o_custkey, month, orders, cents,
+        {_ratio_over(3)} AS order_share, {_ratio_over(1)} AS own FROM customer_month""",
+    "trailing_medians_only_hot": with_panel(many("median(amt4) AS mid", 6)),
+    "category_share_long": """WITH o AS (
+        SELECT o_orderpriority, CAST(month(o_orderdate) AS INTEGER) AS month, CAST(o_custkey AS VARCHAR) AS category
+        FROM orders),
+      inside AS (SELECT o.*, CAST(b AS INTEGER) AS base_period FROM o JOIN (SELECT unnest(range(6, 10)) AS b)
+        ON month BETWEEN b - 2 AND b)
+      SELECT o_orderpriority, base_period, category, count(*) AS cnt,
+        count(*) / sum(count(*)) OVER (PARTITION BY o_orderpriority, base_period) AS pct
+      FROM inside GROUP BY o_orderpriority, base_period, category""",
+    "worst_status_codes": f"""WITH codes AS (
+        SELECT o_custkey, k, substr('{WORST_TO_BEST}',
+          CAST(((o_orderkey * 7 + o_custkey) % 15 + k * k) % 15 + 1 AS INTEGER), 1) AS code
+        FROM orders, (SELECT unnest(range(6)) AS k)),
+      worst AS (SELECT o_custkey, k, min(instr('{WORST_TO_BEST}', code)) AS rank FROM codes GROUP BY 1, 2)
+      SELECT o_custkey, string_agg(substr('{WORST_TO_BEST}', rank, 1), '' ORDER BY k) AS summary
+      FROM worst GROUP BY 1""",
+    "custom_expr_more": with_panel(
+        f"""SELECT user_id, {LAST} AS base_period, total, best, size,
+          (7 - total) - 360 * floor((7 - total) / 360) AS rest,
+          total - (-360) * floor(total / -360) AS back,
+          floor((7 - total) / size) AS whole,
+          CAST(coalesce(best > 5000, false) AS DOUBLE) + CAST(coalesce(best <> 0, true) AS DOUBLE) AS large,
+          coalesce(best, -1) * 2 AS filled
+        FROM (SELECT DISTINCT user_id FROM user_day) LEFT JOIN (
+          {single("coalesce(sum(amt2), 0) AS total, max(amt2) AS best, count(*) AS size", 6)}) USING (user_id)"""
+    ),
+    "online_repeated_requests": f"""WITH {REQUESTS}
+      SELECT CAST(event_id % 10 AS VARCHAR) AS request_id, key, CAST(event_id + cents AS DOUBLE) AS var_22,
+        CAST(greatest(event_id, cents) AS DOUBLE) AS var_23,
+        CAST(CASE WHEN k IS NULL THEN 2 ELSE 1 END AS BIGINT) AS var_24, CAST(2 AS BIGINT) AS var_25,
+        CASE WHEN event_type = 'click' THEN 0.5 ELSE 0 END::DOUBLE AS var_26,
+        CAST(event_id + cents + 2 AS DOUBLE) AS var_31
+      FROM requests WHERE has_step AND is_number""",
+    "online_stream": f"""WITH {REQUESTS}
+      SELECT key, CAST(event_id + cents AS DOUBLE) AS var_22,
+        CAST(greatest(event_id, cents) AS DOUBLE) AS var_23,
+        CAST(CASE WHEN k IS NULL THEN 2 ELSE 1 END AS BIGINT) AS var_24, CAST(2 AS BIGINT) AS var_25,
+        CASE WHEN event_type = 'click' THEN 0.5 ELSE 0 END::DOUBLE AS var_26,
+        CAST(event_id + cents + 2 AS DOUBLE) AS var_31
+      FROM requests WHERE has_step AND is_number""",
+    "online_two_parts": f"""WITH {REQUESTS}
+      SELECT request_id, key, CAST(event_id + cents AS DOUBLE) AS var_22,
+        CAST(greatest(event_id, cents) AS DOUBLE) AS var_23,
+        CAST(CASE WHEN k IS NULL THEN 2 ELSE 1 END AS BIGINT) AS var_24, CAST(2 AS BIGINT) AS var_25,
+        CASE WHEN event_type = 'click' THEN 0.5 ELSE 0 END::DOUBLE AS var_26,
+        CAST(event_id + cents + 2 AS DOUBLE) AS var_31,
+        CAST(least(event_id, cents) AS DOUBLE) AS var_41
+      FROM requests WHERE has_step AND is_number""",
+    "csv_round_trip": with_panel("SELECT * FROM user_day"),
 }

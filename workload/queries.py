@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcraft.functions.columns import keyword_flag, predicate
+from panelcraft.functions.columns import as_number, keyword_flag, predicate
 from panelcraft.operators.bins import bin_shares, threshold_share
-from panelcraft.operators.categories import category_shares
+from panelcraft.operators.categories import category_shares, category_shares_long
 from panelcraft.operators.pick import pick_extremes
 from panelcraft.operators.profile import (
     category_profile,
@@ -21,15 +22,16 @@ from panelcraft.operators.profile import (
 )
 from panelcraft.operators.quality import duplicate_keys
 from panelcraft.operators.ratios import add_ratios, combination_ratios
-from panelcraft.operators.status import worst_status
+from panelcraft.operators.status import STATUS_ORDER, worst_status
 from panelcraft.operators.trailing import trailing_features
 from panelcraft.plans.check import check
 from panelcraft.plans.config import Blocks, Source
 from panelcraft.plans.discover import discover
 from panelcraft.plans.replay import replay
-from panelcraft.session import materialize
+from panelcraft.session import materialize, shared_folder
 from panelcraft.sources.dictionary import dictionary_frame
 from panelcraft.sources.documents import explode_rows, row_array
+from panelcraft.sources.tables import read_panel, write_features
 from panelcraft.spec import (
     CATEGORY,
     EXPRESSION,
@@ -46,7 +48,7 @@ from panelcraft.spec import (
     period_ratio_features,
     stat_features,
 )
-from panelcraft.streaming.online import Step, online_features
+from panelcraft.streaming.online import Step, online_features, start_online
 from workload.panels import customer_month, table, user_day
 
 KEY, DAY = "user_id", "day"
@@ -83,6 +85,25 @@ def combo_ratio(spark, sf_dir):
     return rows.drop("cat")
 
 
+@query
+def panel_filter_nulls(spark, sf_dir):
+    """A missing value satisfies != and negated comparisons."""
+    text = "amt2 != 0 and not amt2 > 5000 and 3 < day <= 20 and cat in ['click', 'view', 'purchase']"
+    return user_day(spark, sf_dir).where(predicate(text))
+
+
+@query
+def combo_ratio_long_history(spark, sf_dir):
+    """Histories cut into short stretches; N is longer than half of one."""
+    features = [
+        Feature("order_share", RATIO, "o_custkey", "month", months=3,
+                numerator=("orders",), denominator=("orders", "cents")),
+        Feature("own", RATIO, "o_custkey", "month", months=1,
+                numerator=("orders",), denominator=("orders", "cents")),
+    ]
+    return add_ratios(customer_month(spark, sf_dir), features, longest_history=4)
+
+
 @query
 def combo_ratio_named(spark, sf_dir):
     ratio = Feature(
@@ -150,6 +171,13 @@ def trailing_many_windows(spark, sf_dir):
     return trailing_features(user_day(spark, sf_dir), features, unique_periods=True)
 
 
+@query
+def trailing_medians_only_hot(spark, sf_dir):
+    """Medians alone, by rank selection for all groups of over two rows."""
+    features = [Feature("mid", STAT, KEY, DAY, "amt4", 6, "np.median").at(FIRST, LAST)]
+    return trailing_features(user_day(spark, sf_dir), features, hot_rows=2)
+
+
 @query
 def period_ratio(spark, sf_dir):
     features = [f.at(LAST) for f in period_ratio_features(KEY, DAY, "amt2", 12, numbered())]
@@ -249,6 +277,17 @@ def category_share_rolling(spark, sf_dir):
     return table_
 
 
+@query
+def category_share_long(spark, sf_dir):
+    """A column with as many values as the table has customers."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderpriority",
+        F.month("o_orderdate").alias("month"),
+        F.col("o_custkey").cast("string").alias("customer"),
+    )
+    return category_shares_long(orders, "o_orderpriority", "month", "customer", 3, 6, 9)
+
+
 @query
 def category_named(spark, sf_dir):
     features = [
@@ -415,6 +454,15 @@ def worst_status_summary(spark, sf_dir):
     return worst_status(order_statuses(spark, sf_dir), "o_custkey", "status")
 
 
+@query
+def worst_status_codes(spark, sf_dir):
+    """Accounts whose histories hold all fifteen codes."""
+    place = (F.col("o_orderkey") * 7 + F.col("o_custkey")) % 15
+    codes = F.concat(*[F.substring(F.lit(STATUS_ORDER), ((place + k * k) % 15 + 1).cast("int"), F.lit(1)) for k in range(6)])
+    accounts = table(spark, sf_dir, "orders").select("o_custkey", codes.alias("status"))
+    return worst_status(accounts, "o_custkey", "status")
+
+
 # --- jobs --------------------------------------------------------------------
 
 SOURCE = Source("user_day", KEY, DAY, 3, 14, "day > 3", ("amt1",))
@@ -495,6 +543,22 @@ def custom_expr(spark, sf_dir):
     return replay(user_day(spark, sf_dir), features, LAST)
 
 
+@query
+def custom_expr_more(spark, sf_dir):
+    """Remainders of negative numbers, whole division, comparisons and filled nulls."""
+    features = [
+        Feature("total", STAT, KEY, DAY, "amt2", 6, "np.sum"),
+        Feature("best", STAT, KEY, DAY, "amt2", 6, "np.max"),
+        Feature("size", STAT, KEY, DAY, "amt2", 6, "np.size"),
+        Feature("rest", EXPRESSION, KEY, expression='(7 - df["total"]) % 360'),
+        Feature("back", EXPRESSION, KEY, expression='df["total"] % -360'),
+        Feature("whole", EXPRESSION, KEY, expression='(7 - df["total"]) // df["size"]'),
+        Feature("large", EXPRESSION, KEY, expression='(df["best"] > 5000) + (df["best"] != 0)'),
+        Feature("filled", EXPRESSION, KEY, expression='df["best"].fillna(-1) * 2'),
+    ]
+    return replay(user_day(spark, sf_dir), features, LAST)
+
+
 # --- JSON requests -----------------------------------------------------------
 
 
@@ -557,3 +621,50 @@ def online_requests(spark, sf_dir):
 @query
 def online_rejects(spark, sf_dir):
     return online_features(requests(spark, sf_dir), [STEP], LAST)[1]
+
+
+@query
+def online_repeated_requests(spark, sf_dir):
+    """Every document comes twice, and ten ids are shared by all requests."""
+    shared = requests(spark, sf_dir).withColumn(
+        "request_id", (F.col("request_id").cast("long") % 10).cast("string")
+    )
+    return online_features(shared.unionByName(shared), [STEP], LAST)[0]["201"]
+
+
+SECOND_PART = Step(
+    "201", "$.data[*]", "seqNo", "$.seqNo",
+    (Feature("var_41", STAT, "seqNo", None, "case_id", None, "np.min"),),
+)
+
+
+@query
+def online_two_parts(spark, sf_dir):
+    """Two configuration rows of one step, joined on request and key."""
+    return online_features(requests(spark, sf_dir), [STEP, SECOND_PART], LAST)[0]["201"]
+
+
+@query
+def online_stream(spark, sf_dir):
+    """The requests as files of JSON lines, read as a stream until all are done."""
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    requests(spark, sf_dir).select("document").repartition(4).write.text(f"{folder}/in")
+    lines = spark.readStream.option("maxFilesPerTrigger", 2).text(f"{folder}/in")
+    documents = lines.select(F.sha2("value", 256).alias("request_id"), F.col("value").alias("document"))
+    start_online(documents, [STEP], LAST, f"{folder}/out", f"{folder}/progress").awaitTermination()
+    return spark.read.parquet(f"{folder}/out/step=201").drop("batch", "request_id")
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """The panel written as a feature table and read back as text, numbers cast."""
+    path = f"{shared_folder(spark)}/panel-{uuid.uuid4().hex}"
+    write_features(user_day(spark, sf_dir), path, file_format="csv")
+    rows = read_panel(spark, path, sep=",")
+    numbers = ("amt1", "amt2", "amt3", "amt4")
+    return rows.select(
+        F.col(KEY).cast("long").alias(KEY),
+        F.col(DAY).cast("int").alias(DAY),
+        *[as_number(F.col(c)).alias(c) for c in numbers],
+        "cat",
+    )
