@@ -28,6 +28,8 @@ from panelcraft.llm.common import Stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same for texts whose A-Z are not lowered yet.
+CASED_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Rarest terms of a window whose lists are intersected before words are compared.
 RAREST = 2
 #: Test vocabularies up to this many terms are sent to every executor.
@@ -74,13 +76,25 @@ def build_index(corpus: DataFrame, tests: DataFrame, store: Stored) -> Index:
     ended = terms.unionByName(
         terms.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(END).cast("long").alias("term_id"))
     )
-    tokens = corpus.select(
-        text_key(F.col("text")).alias("key"),
-        F.posexplode(F.concat(words(F.col("text")), F.array(F.lit("")))).alias("pos", "term"),
+    # A closing space makes the last part empty: it stands for the end of the text.
+    text = F.coalesce("text", F.lit(""))
+    parts = F.split(F.concat(text, F.lit(" ")), CASED_SEPARATORS, -1)
+    ahead = (F.left(text, F.lit(1)).rlike(CASED_SEPARATORS) | (text == "")).cast("int")
+    tokens = (
+        corpus.select(text_key(F.col("text")).alias("key"), (-ahead).alias("from"), parts.alias("parts"))
+        # The array is never empty; an inner generator would split every text again to test that.
+        .select("key", "from", F.posexplode_outer("parts").alias("at", "word"))
+        .select("key", (F.col("at") + F.col("from")).alias("pos"), "word")
+        .filter("pos >= 0")
     )
+    sought = ended.select("term_id", "term", F.lower("term").alias("lowered"))
+    # Beyond A-Z, lower() changes more than the operator's words do; few words need the second look.
+    same = (F.col("word") == F.col("term")) | (F.translate("word", UPPER, LOWER) == F.col("term"))
     postings = store.put(
         "postings",
-        tokens.join(ended if many else F.broadcast(ended), "term").select("term_id", "key", "pos"),
+        tokens.join(
+            sought if many else F.broadcast(sought), (F.lower("word") == F.col("lowered")) & same
+        ).select("term_id", "key", "pos"),
     )
     counts = store.put("counts", postings.groupBy("term_id").count())
     return Index(postings, terms, counts)
@@ -124,7 +138,10 @@ def phrase_matches(index: Index, tests: DataFrame, corpus: DataFrame, store: Sto
         both.groupBy("key").agg(F.collect_list(F.struct("start", "length", "window")).alias("found")),
     )
     texts = corpus.select(text_key(F.col("text")).alias("key"), "text")
-    read = texts.join(candidates, "key").select("key", "found", words(F.col("text")).alias("w"))
+    # The one-element explode keeps the words from being made again for every candidate.
+    read = texts.join(candidates.hint("merge"), "key").select(
+        "key", "found", F.explode(F.array(words(F.col("text")))).alias("w")
+    )
 
     def stands(m: Column) -> Column:
         there = F.slice("w", m["start"] + 1, m["length"])
