@@ -10,10 +10,15 @@ How links are found without comparing all pairs of a group:
 1. Texts with equal sets become one node.
 2. In every bucket each node is compared with the bucket's first node only.
    Confirmed links give components; a group of copies collapses here.
-3. Buckets that still hold several components are compared across components.
-   Buckets of more than ``BLOCK`` nodes are first split by further bands, with
-   several alternatives each, so that a pair over the threshold stays together
-   in at least one of them.
+3. Buckets that still hold several components compare their nodes with a few
+   drawn by hash, which joins most of what belongs together.
+4. In buckets that are still open, the nodes outside the bucket's largest
+   component are compared with all nodes of other components. Where these would
+   be more than ``DIRECT`` pairs, as when thousands of texts share a passage, a
+   pair must also share one of its rarest shingles, and from the first shared
+   one on enough shingles must be left to reach the threshold. Sets over the
+   threshold always pass (prefix and position filter); texts that only share a
+   passage, or have too many words of their own, do not.
 
 Every link is confirmed on the full sets. A pair at a similarity of exactly
 0.75 shares no band with probability 1e-6, so results are those of an
@@ -40,10 +45,10 @@ from panelcraft.llm.common import Stored, map_rows
 WORDS = 5
 SIMILAR = 75  # of 100
 BANDS, ROWS = 36, 4
-#: Nodes of a bucket that are compared directly.
-BLOCK = 32
-#: Bands by which a larger bucket is split, and how often before all its cross pairs are taken.
-ALTERNATIVES, SPLITS = 8, 3
+#: Nodes per open bucket that all its nodes are compared with before cross pairs are taken.
+DRAWN = 4
+#: Pairs of a bucket that are compared without a look at their rarest shingles.
+DIRECT = 1_024
 #: Shingles whose coordinates are computed at once.
 CHUNK = 4_096
 
@@ -152,15 +157,18 @@ class _Search:
         self.nodes = self.store.put(
             "nodes", nodes.withColumn("nid", F.monotonically_increasing_id())
         )
-        members = self.nodes.select("nid", "n", F.explode("bands").alias("key"))
+        members = self.nodes.select("nid", "n", F.posexplode("bands").alias("band", "key"))
         buckets = self.store.put("buckets", _buckets(members))
-        self.shared = self.store.put("shared", members.join(buckets, "key"))
+        self.shared = self.store.put("shared", members.join(buckets.hint("merge"), "key"))
         self.store.drop("buckets")
-        wanted = self.shared.select("nid").distinct().join(self.nodes, "nid").select("nid", "at.*")
+        wanted = self.shared.select("nid").distinct().join(self.nodes.hint("merge"), "nid")
+        wanted = wanted.select("nid", "at.*")
         self.texts = self.store.put(
             "texts",
             rows.withColumn("id", F.hash("doc_id"))
-            .join(wanted.withColumn("id", F.hash("doc_id")).drop("doc_id"), ["text_key", "id"])
+            .join(
+                wanted.withColumn("id", F.hash("doc_id")).drop("doc_id").hint("merge"), ["text_key", "id"]
+            )
             .select("nid", "text"),
         )
 
@@ -169,7 +177,7 @@ class _Search:
         a = self.texts.select(F.col("nid").alias("a"), F.col("text").alias("left"))
         b = self.texts.select(F.col("nid").alias("b"), F.col("text").alias("right"))
         found = map_rows(
-            pairs.join(a, "a").join(b, "b"), ["a", "b"], ["left", "right"], _confirm, "ok boolean"
+            pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b"), ["a", "b"], ["left", "right"], _confirm, "ok boolean"
         )
         return self.store.put(name, found.filter("ok").select("a", "b").distinct())
 
@@ -178,42 +186,76 @@ class _Search:
         leaders = self.nodes.select(F.col("nid").alias("leader"), F.col("n").alias("m"))
         pairs = self.shared.filter("nid <> leader").select("nid", "n", "leader").distinct()
         return (
-            pairs.join(leaders, "leader")
+            pairs.join(leaders.hint("merge"), "leader")
             .filter(_may_be_similar(F.col("n"), F.col("m")))
             .select(F.col("nid").alias("a"), F.col("leader").alias("b"))
         )
 
-    def cross_pairs(self, roots: DataFrame) -> DataFrame:
-        """Pairs of a bucket that lie in different components, but for those with its first node."""
-        bands = self.nodes.select("nid", "bands")
-        level = self.shared.select("key", "nid", "n", "leader")
-        found = []
-        for depth in range(SPLITS + 1):
-            own = level.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-            state = (
-                own.groupBy("key")
-                .agg(
-                    F.min("root").alias("low"), F.max("root").alias("high"), F.count("nid").alias("size")
-                )
-                .filter("low <> high")
-                .select("key", "size")
-            )
-            open_ = self.store.put(f"open{depth}", own.join(state, "key"))
-            direct = open_ if depth == SPLITS else open_.filter(F.col("size") <= BLOCK)
-            found.append(_across(direct))
-            large = open_.filter(F.col("size") > BLOCK)
-            if depth == SPLITS or large.isEmpty():
-                break
-            by = F.explode(F.sequence(F.lit(1), F.lit(ALTERNATIVES))).alias("by")
-            split = large.select("key", "nid", "n", "leader", by).join(bands, "nid")
-            other = F.get("bands", F.pmod(F.xxhash64("key", "by"), F.lit(BANDS)).cast("int"))
-            level = split.select(
-                F.xxhash64("key", "by", other).alias("key"), "nid", "n", "leader"
+    def drawn_pairs(self, roots: DataFrame) -> DataFrame:
+        """Nodes of open buckets with ``DRAWN`` nodes of other components, drawn by hash."""
+        own = self._rooted(self.shared, roots)
+        order = [F.xxhash64("key", "nid", F.lit(k)) for k in range(DRAWN)]
+        drawn = (
+            own.groupBy("key")
+            .agg(
+                F.min("root").alias("low"),
+                F.max("root").alias("high"),
+                *[F.min_by("nid", o).alias(f"d{k}") for k, o in enumerate(order)],
             )
-        pairs = found[0]
-        for more in found[1:]:
-            pairs = pairs.unionByName(more)
-        return pairs.distinct()
+            .filter("low <> high")
+            .select("key", F.array(*[f"d{k}" for k in range(DRAWN)]).alias("drawn"))
+        )
+        pairs = (
+            own.join(drawn.hint("merge"), "key")
+            .select("nid", "n", "root", F.explode("drawn").alias("other"))
+            .filter("nid <> other")
+            .distinct()
+        )
+        others = self._rooted(self.nodes, roots).select(
+            F.col("nid").alias("other"), F.col("n").alias("m"), F.col("root").alias("far")
+        )
+        return (
+            pairs.join(others.hint("merge"), "other")
+            .filter((F.col("root") != F.col("far")) & _may_be_similar(F.col("n"), F.col("m")))
+            .select(F.least("nid", "other").alias("a"), F.greatest("nid", "other").alias("b"))
+            .distinct()
+        )
+
+    def _rooted(self, members: DataFrame, roots: DataFrame) -> DataFrame:
+        joined = members.join(roots.hint("merge"), "nid", "left")
+        return joined.withColumn("root", F.coalesce("root", "nid"))
+
+    def cross_pairs(self, roots: DataFrame) -> DataFrame:
+        """Pairs of a bucket that lie in different components."""
+        shared = self.shared.select("key", "nid", "n", F.lit(0).alias("pos"))
+        open_ = self.store.put("open", _with_main(self._rooted(shared, roots)))
+        direct = _across(open_.filter(f"others * size <= {DIRECT}"))
+        crowded = self.store.put(
+            "crowded", open_.filter(f"others * size > {DIRECT}").select("nid").distinct()
+        )
+        if crowded.isEmpty():
+            return direct.distinct()
+        sets = map_rows(
+            self.texts.join(crowded.hint("merge"), "nid", "left_semi"),
+            ["nid"],
+            ["text"],
+            lambda texts: [(shingle_set(t).view(np.int64).tolist(),) for t in texts],
+            "hashes array<long>",
+        )
+        every = self.store.put(
+            "shingles", sets.select("nid", F.explode("hashes").alias("key"))
+        ).distinct()
+        often = self.store.put("often", every.groupBy("key").count().filter("count > 1"))
+        ranked = every.join(often.hint("merge"), "key", "left").groupBy("nid").agg(
+            F.sort_array(F.collect_list(F.struct(F.coalesce("count", F.lit(1)).alias("c"), "key"))).alias("s")
+        )
+        size = F.size("s")
+        least = size - F.ceil(size * SIMILAR / 100.0).cast("int") + 1
+        rarest = ranked.select("nid", F.posexplode(F.slice("s", F.lit(1), least)).alias("pos", "x"))
+        rare = rarest.filter("x.c > 1").select("nid", F.col("x.key").alias("key"), "pos")
+        sizes = self.nodes.select("nid", "n").hint("merge")
+        placed = self.store.put("rare", self._rooted(rare.join(sizes, "nid"), roots))
+        return direct.unionByName(_across(_with_main(placed))).distinct()
 
 
 def _buckets(members: DataFrame) -> DataFrame:
@@ -222,14 +264,37 @@ def _buckets(members: DataFrame) -> DataFrame:
     return found.filter("leader <> last").select("key", "leader")
 
 
+def _with_main(members: DataFrame) -> DataFrame:
+    """Members of keys with several components, with the largest of them and the key's counts."""
+    state = (
+        members.groupBy("key", "root")
+        .agg(F.count("nid").alias("c"))
+        .groupBy("key")
+        .agg(
+            F.max_by("root", "c").alias("main"),
+            F.sum("c").alias("size"),
+            (F.sum("c") - F.max("c")).alias("others"),
+        )
+        .filter("others > 0")
+    )
+    return members.join(state.hint("merge"), "key")
+
+
 def _across(members: DataFrame) -> DataFrame:
-    left = members.select("key", "leader", *[F.col(c).alias(f"{c}_a") for c in ("nid", "n", "root")])
-    right = members.select("key", *[F.col(c).alias(f"{c}_b") for c in ("nid", "n", "root")])
+    """Pairs (smaller, larger) of nodes outside a key's main component with all others.
+
+    ``pos`` is the number of a set's shingles that come before the key; if the
+    key is the first shared one, only what follows it can be shared.
+    """
+    columns = ("nid", "n", "root", "pos")
+    left = members.filter("root <> main").select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = members.select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
+    rest = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    reachable = (100 + SIMILAR) * rest >= SIMILAR * (F.col("n_a") + F.col("n_b"))
     return (
-        left.join(right, "key")
-        .filter((F.col("nid_a") < F.col("nid_b")) & (F.col("root_a") != F.col("root_b")))
-        .filter((F.col("nid_a") != F.col("leader")) & _may_be_similar(F.col("n_a"), F.col("n_b")))
-        .select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b"))
+        left.join(right.hint("merge"), "key")
+        .filter((F.col("root_a") != F.col("root_b")) & reachable)
+        .select(F.least("nid_a", "nid_b").alias("a"), F.greatest("nid_a", "nid_b").alias("b"))
     )
 
 
@@ -248,10 +313,10 @@ def components(store: Stored, links: DataFrame, name: str) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (
-            both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            both.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         ).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(
+        small = large.join(low.hint("merge"), "u").select(
             F.explode(
                 F.array(
                     F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
@@ -276,16 +341,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     store = search.store
     links = search.confirmed("links", search.leader_pairs())
     roots = components(store, links, "first")
-    more = search.confirmed("more", search.cross_pairs(roots))
-    if not more.isEmpty():
-        joined = roots.select(F.col("nid").alias("a"), F.col("root").alias("b")).unionByName(more)
-        roots = components(store, joined, "second")
-    store.drop("shared", "texts", "links", *[f"open{k}" for k in range(SPLITS + 1)])
-    rooted = search.nodes.select("node", "nid", "least_id").join(roots, "nid", "left")
+    for name, pairs in (("drawn", search.drawn_pairs), ("crossed", search.cross_pairs)):
+        more = search.confirmed(name, pairs(roots))
+        if not more.isEmpty():
+            known = roots.select(F.col("nid").alias("a"), F.col("root").alias("b"))
+            roots = components(store, known.unionByName(more), f"{name}_roots")
+    store.drop(*"shared texts links drawn crossed open crowded shingles often rare".split())
+    rooted = search.nodes.select("node", "nid", "least_id").join(roots.hint("merge"), "nid", "left")
     rooted = rooted.select("node", "least_id", F.coalesce("root", "nid").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    placed = rooted.join(names, "root").select("node", "component_id")
-    own = search.rows.select("doc_id", "n_shingles", "node").join(placed, "node", "left")
+    placed = rooted.join(names.hint("merge"), "root").select("node", "component_id")
+    own = search.rows.select("doc_id", "n_shingles", "node").join(placed.hint("merge"), "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return own.select(
         "doc_id",

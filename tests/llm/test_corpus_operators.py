@@ -141,9 +141,9 @@ def near_copies():
 COLUMNS = ("doc_id", "n_shingles", "component_id", "kept")
 
 
-@pytest.mark.parametrize("block", [near_duplicates.BLOCK, 3])
-def test_components(spark, monkeypatch, block):
-    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+@pytest.mark.parametrize("direct", [near_duplicates.DIRECT, 3])
+def test_components(spark, monkeypatch, direct):
+    monkeypatch.setattr(near_duplicates, "DIRECT", direct)
     rows = near_copies()
     got = by_row(near_duplicates.near_duplicates(spark.createDataFrame(rows, DOCS)), *COLUMNS)
     assert got == plain_components(rows)
