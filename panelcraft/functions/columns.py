@@ -163,7 +163,9 @@ class _Tree:
             case ast.Compare():
                 return self.test(node).cast("double")
             case ast.Call(
-                func=ast.Attribute(value=inner, attr="fillna"), args=[ast.Constant() as filler], keywords=[]
+                func=ast.Attribute(value=inner, attr="fillna"),
+                args=[ast.Constant() | ast.UnaryOp(operand=ast.Constant()) as filler],
+                keywords=[],
             ):
                 return F.coalesce(self.value(inner), self.value(filler))
         raise ValueError(f"unsupported expression {self.text!r}")

@@ -328,6 +328,8 @@ def _above(f: Feature, names: _Names) -> str:
     v = names.values[f.value]
     if f.edge is not None:
         edge = f"get(`{f.edge[0]}`, {f.edge[1]})"
+    elif f.threshold is None and f.bin_value is None:
+        edge = "CAST(NULL AS DOUBLE)"  # a bin whose window had no value
     else:
         edge = double(f.threshold if f.threshold is not None else f.bin_value)
     return f"({v} IS NULL OR {v} >= {edge})" if f.null_is_above else f"{v} >= {edge}"

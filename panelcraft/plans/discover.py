@@ -79,6 +79,8 @@ def discover(
     category blocks read the row layer, so ratio variables are legal there.
     ``drop_unbinned`` leaves out keys missing from any bin block's window.
     """
+    if rolling and drop_unbinned:
+        raise ValueError("a rolling run keeps keys without a bin; drop_unbinned does not apply to it")
     blocks = blocks.of(source)
     rows = filtered(panel, source)
     names = numbered()
@@ -130,7 +132,7 @@ def discover(
         carry=own if rolling else (),
         keyed=bool(ratios),
     )
-    if drop_unbinned and bin_vars and not rolling:
+    if drop_unbinned and bin_vars:
         for f in bin_vars:
             table = table.where(F.col(f.name).isNotNull())
     return Discovery([*ratios, *features], table, edges if rolling else None)
@@ -196,8 +198,16 @@ def _with_edges(
         return [], None
     found = bin_edges(layer, bins)
     if rolling:
+        # The dictionary keeps the edges of the last period, for replays there.
+        last = {
+            (r["edge_set"], r["ordinal"]): r["edge"]
+            for f in bins
+            for r in found.where((F.col("edge_set") == f.name) & (F.col(BASE) == f.last_base)).collect()
+        }
         made = [
-            replace(f, name=next(names), edge=(f.name, i)) for f in bins for i in range(f.bins)
+            replace(f, name=next(names), edge=(f.name, i), bin_value=last.get((f.name, i)))
+            for f in bins
+            for i in range(f.bins)
         ]
         return made, found
     by_set: dict[str, list[float]] = {}

@@ -20,6 +20,8 @@ DICTIONARY_SCHEMA = (
     "category_value string, numerator array<string>, denominator array<string>, "
     "numerator_months int, denominator_months int, expression string, dataset string"
 )
+# What else decides a variable's value. Files without these columns can be read.
+EXTRA_SCHEMA = "where string, denominator_span string, rows_from int, rows_to int, null_is_above boolean"
 
 
 def to_rows(features: Sequence[Feature]) -> list[tuple]:
@@ -32,13 +34,14 @@ def to_rows(features: Sequence[Feature]) -> list[tuple]:
             list(f.numerator) if f.numerator else None,
             list(f.denominator) if f.denominator else None,
             f.numerator_months, f.denominator_months, f.expression, f.dataset,
+            f.where, f.denominator_span, f.rows_from, f.rows_to, f.null_is_above,
         )
         for f in features
     ]
 
 
 def dictionary_frame(spark: SparkSession, features: Sequence[Feature]) -> DataFrame:
-    return spark.createDataFrame(to_rows(features), DICTIONARY_SCHEMA)
+    return spark.createDataFrame(to_rows(features), f"{DICTIONARY_SCHEMA}, {EXTRA_SCHEMA}")
 
 
 def write_dictionary(spark: SparkSession, features: Sequence[Feature], path: str) -> None:
@@ -79,8 +82,9 @@ def _number(row: Mapping, name: str) -> float | None:
 def from_row(row: Mapping[str, object]) -> Feature:
     """One dictionary row as a feature.
 
-    A bin variable without a threshold uses its recorded edge, with the null
-    rule of the run that produced it; a given threshold has null not above.
+    A bin variable without a threshold uses its recorded edge; one of a rolling
+    run has the edge of its last period. Without a recorded null rule, null is
+    above an edge and not above a given threshold.
     """
     module = str(row["module"])
     if module not in KIND_OF_MODULE:
@@ -90,6 +94,7 @@ def from_row(row: Mapping[str, object]) -> Feature:
         earliest = optional_int(row, "denomerator_months")
     threshold = _number(row, "threshold_value")
     edge = _number(row, "bin_value")
+    above = optional_text(row, "null_is_above")
     return Feature(
         name=str(row["var_name"]),
         kind=KIND_OF_MODULE[module],
@@ -108,7 +113,13 @@ def from_row(row: Mapping[str, object]) -> Feature:
         denominator_months=earliest,
         expression=optional_text(row, "expression"),
         dataset=optional_text(row, "dataset"),
-        null_is_above=threshold is None and edge is not None,
+        null_is_above=(
+            threshold is None and edge is not None if above is None else above.lower() == "true"
+        ),
+        where=optional_text(row, "where"),
+        denominator_span=optional_text(row, "denominator_span") or "denominator",
+        rows_from=optional_int(row, "rows_from"),
+        rows_to=optional_int(row, "rows_to"),
     )
 
 

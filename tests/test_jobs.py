@@ -130,6 +130,25 @@ def test_row_filter_of_a_variable(panel):
         assert got[key] == values
 
 
+def test_dictionary_keeps_filters_and_rolling_edges(spark, panel, tmp_path):
+    blocks = Blocks(
+        stats=[row(var_name="a", month_combinations="6", where="b > 0")],
+        bins=[row(var_name="a", month_combinations="3", bin_by_loc="4", bin_by_val="3")],
+    )
+    for rolling in (False, True):
+        first = discover(panel, SOURCE, blocks, rolling=rolling)
+        path = str(tmp_path / f"dic-{rolling}")
+        write_dictionary(spark, first.features, path)
+        again = table(replay(filtered(panel, SOURCE), read_dictionary(spark, path), 12), "customer")
+        for key, values in table(first.table, "customer", *(["base_period"] if rolling else [])).items():
+            if rolling and key[1] != 12:
+                continue
+            for f in first.features:
+                assert again[(key[0],)][f.name] == values[f.name], (rolling, key, f.name)
+    with pytest.raises(ValueError, match="drop_unbinned"):
+        discover(panel, SOURCE, blocks, rolling=True, drop_unbinned=True)
+
+
 def test_drop_unbinned_leaves_out_keys_without_bins(panel):
     blocks = Blocks(ratios=BLOCKS.ratios, bins=[row(var_name="a", month_combinations="1", bin_by_val="2")])
     kept = table(discover(panel, SOURCE, blocks).table, "customer")

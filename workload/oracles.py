@@ -325,6 +325,20 @@ def discovery(rolling: bool) -> str:
     return f"WITH {USER_DAY}, {layer_sql()} SELECT {columns} FROM {joined}"
 
 
+def replayed_discovery_sql() -> str:
+    """The variables of a filtered block and of a bin block, for every key of the source."""
+    names = var_names()
+    columns = f"{stats('amt2', [next(names) for _ in STATS])}, {period_ratios('amt2', 3, names)}"
+    block = grouped("chosen", columns, 3, LAST, LAST)
+    bins = bin_block("filtered", "amt2", 6, 3, LAST, False, names)
+    return (
+        f"WITH {USER_DAY}, filtered AS (SELECT * FROM user_day WHERE day BETWEEN 3 AND 14 AND day > 3), "
+        "chosen AS (SELECT * FROM filtered WHERE amt3 > 1000 OR cat = 'view') "
+        f"SELECT * FROM (SELECT DISTINCT user_id, {LAST} AS base_period FROM filtered) "
+        f"LEFT JOIN {block} b USING (user_id, base_period) LEFT JOIN {bins} c USING (user_id, base_period)"
+    )
+
+
 def dictionary_sql() -> str:
     """One row per variable of the discovery run; edges come from the data."""
     names = var_names()
@@ -642,5 +656,6 @@ ORACLES = {
         CAST(event_id + cents + 2 AS DOUBLE) AS var_31,
         CAST(least(event_id, cents) AS DOUBLE) AS var_41
       FROM requests WHERE has_step AND is_number""",
+    "replay_of_discovered": replayed_discovery_sql(),
     "csv_round_trip": with_panel("SELECT * FROM user_day"),
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +27,10 @@ from panelcraft.operators.status import STATUS_ORDER, worst_status
 from panelcraft.operators.trailing import trailing_features
 from panelcraft.plans.check import check
 from panelcraft.plans.config import Blocks, Source
-from panelcraft.plans.discover import discover
+from panelcraft.plans.discover import discover, filtered
 from panelcraft.plans.replay import replay
 from panelcraft.session import materialize, shared_folder
-from panelcraft.sources.dictionary import dictionary_frame
+from panelcraft.sources.dictionary import dictionary_frame, read_dictionary, write_dictionary
 from panelcraft.sources.documents import explode_rows, row_array
 from panelcraft.sources.tables import read_panel, write_features
 from panelcraft.spec import (
@@ -503,6 +504,22 @@ def discover_rolling(spark, sf_dir):
     return discover(stored_user_day(spark, sf_dir), SOURCE, BLOCKS, rolling=True).table
 
 
+WHERE_BLOCKS = Blocks(
+    stats=[_row(var_name="amt2", month_combinations="3", where="amt3 > 1000 or cat == 'view'")],
+    bins=[_row(var_name="amt2", month_combinations="6", bin_by_loc=None, bin_by_val="3")],
+)
+
+
+@query
+def replay_of_discovered(spark, sf_dir):
+    """Discovered with a row filter, its dictionary written, read and replayed."""
+    panel = filtered(stored_user_day(spark, sf_dir), SOURCE)
+    found = discover(panel, replace(SOURCE, exclude=()), WHERE_BLOCKS)
+    path = f"{shared_folder(spark)}/dictionary-{uuid.uuid4().hex}"
+    write_dictionary(spark, found.features, path)
+    return replay(panel, read_dictionary(spark, path), LAST)
+
+
 @query
 def discover_dictionary(spark, sf_dir):
     """The feature dictionary of a discovery run, thresholds included."""
