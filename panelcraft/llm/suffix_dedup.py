@@ -4,11 +4,12 @@ Every byte is removed that lies in a ``length``-byte string which starts at two
 or more places of the corpus. Places are judged on the input; strings never
 cross documents.
 
-1. Anchors: of the ``KGRAM``-byte strings that start in a ``length``-byte string, the
-   least by hash is an anchor (the leftmost of equals). Equal strings have the
-   same anchor at the same place, so only anchors that occur twice matter.
-2. Contexts: the bytes around such an anchor that strings through it can reach.
-   Equal contexts of an anchor become one with a count before bytes are moved.
+1. Anchors: of the ``KGRAM``-byte strings inside a ``length``-byte string, the least
+   by hash is its anchor (the leftmost of equals). Equal strings have the same
+   anchor at the same place, so only anchors that occur twice matter.
+2. Contexts: a run of strings with the same anchor is one stretch of bytes; each
+   string lies in exactly one. Equal contexts become one with a count before
+   bytes are moved.
 3. Shards: all contexts of an anchor meet in one shard of a few megabytes. Its
    suffix array is built by induced sorting: suffixes are classified, the
    leftmost-smaller substrings are sorted and named, the string of names is
@@ -28,6 +29,7 @@ bytes or more lose all bytes.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -165,8 +167,11 @@ def _names(t: np.ndarray, ordered: np.ndarray, lms: np.ndarray) -> np.ndarray:
     return named[lms]
 
 
-def _by_doubling(s: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string with a large alphabet: ranks of ever longer prefixes."""
+def _by_doubling(s: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Order of the suffixes of a string with a large alphabet: ranks of ever longer prefixes.
+
+    With ``depth`` suffixes that agree in so many letters may stay in any order.
+    """
     rank, step = s.astype(np.int64), 1
     while True:
         order = np.argsort(rank)
@@ -174,7 +179,7 @@ def _by_doubling(s: np.ndarray) -> np.ndarray:
         fresh = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
         rank = np.empty_like(fresh)
         rank[order] = fresh
-        if fresh[-1] == len(s) - 1:
+        if fresh[-1] == len(s) - 1 or (depth is not None and step >= depth):
             return order
         after = np.zeros(len(s), np.int64)
         after[:-step] = rank[step:] + 1
@@ -182,8 +187,12 @@ def _by_doubling(s: np.ndarray) -> np.ndarray:
         step *= 2
 
 
-def suffix_array(t: np.ndarray) -> np.ndarray:
-    """Sorted suffixes of ``t``, whose last value must be 0 and the only 0."""
+def suffix_array(t: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Sorted suffixes of ``t``, whose last value must be 0 and the only 0.
+
+    With ``depth`` suffixes that agree in so many values may stay in any order:
+    names stand for two values at least, so half as many of them decide.
+    """
     if len(t) == 1:
         return np.zeros(1, np.int64)
     small = _is_small(t)
@@ -197,7 +206,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
         names = _names(t, ordered, lms)
         if names.max() + 1 < len(lms):
             deep = suffix_array if names.max() < FEW_BUCKETS else _by_doubling
-            ordered = lms[deep(names)]
+            ordered = lms[deep(names, None if depth is None else depth // 2 + 1)]
         lms = ordered
     return _induce(t, small, lms, counts)
 
@@ -243,9 +252,9 @@ def _kgram_hashes(raw: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def anchors(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the anchors of one text."""
-    found, hashes = [], []
+def anchors(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor hash, start, size in bytes) of the contexts of one text, in order."""
+    hashes, starts, sizes = [], [], []
     width, mask = length - KGRAM + 1, np.uint64(0xFFFFFF)
     for at in range(0, max(0, len(raw) - length + 1), CHUNK):
         part = np.frombuffer(raw, np.uint8, min(CHUNK + length - 1, len(raw) - at), at)
@@ -256,19 +265,14 @@ def anchors(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
             least = np.minimum(least[: len(least) - span], least[span:])
             span *= 2
         least = np.minimum(least[: len(least) - (width - span)], least[width - span :])
-        places = np.unique((least & mask).astype(np.int64))
-        found.append(places + at)
-        hashes.append(h[places])
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    places, first = np.unique(np.concatenate(found), return_index=True)
-    return places, np.concatenate(hashes)[first]
-
-
-def context(raw: bytes, at: int, length: int = LENGTH) -> tuple[int, bytes]:
-    """(bytes before the anchor, the bytes that strings through the anchor can reach)."""
-    start = max(0, at + KGRAM - length)
-    return at - start, raw[start : at + length]
+        places = (least & mask).astype(np.int64)
+        first = np.concatenate([[0], np.flatnonzero(np.diff(places)) + 1])
+        starts.append(first + at)
+        sizes.append(np.diff(np.append(first, len(places))) + length - 1)
+        hashes.append(h[places[first]])
+    if not starts:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(starts), np.concatenate(sizes)
 
 
 def _signed(h: np.ndarray) -> list[int]:
@@ -278,32 +282,27 @@ def _signed(h: np.ndarray) -> list[int]:
 def _anchor_rows(texts: list[str | None], length: int) -> Iterator[tuple]:
     for text in texts:
         raw = (text or "").encode()
-        places, hashes = anchors(raw, length)
+        hashes, starts, sizes = anchors(raw, length)
         rows = []
-        for at, h in zip(places.tolist(), _signed(hashes), strict=True):
-            before, around = context(raw, at, length)
-            seen = xxhash.xxh3_64_intdigest(around, seed=before)
-            rows.append({"h": h, "ctx": seen - (1 << 64) if seen >> 63 else seen, "a": at})
+        for h, at, size in zip(_signed(hashes), starts.tolist(), sizes.tolist(), strict=True):
+            seen = xxhash.xxh3_64_intdigest(raw[at : at + size])
+            rows.append({"h": h, "ctx": seen - (1 << 64) if seen >> 63 else seen, "a": at, "size": size})
         yield (rows,)
 
 
-def _context_rows(wanted: list, texts: list[str], length: int) -> Iterator[tuple]:
+def _context_rows(wanted: list, texts: list[str]) -> Iterator[tuple]:
     for rows, text in zip(wanted, texts, strict=True):
         raw = text.encode()
-        made = []
-        for r in rows:
-            before, around = context(raw, r["a"], length)
-            made.append({"h": r["h"], "ctx": r["ctx"], "n": r["n"], "before": before, "raw": around})
-        yield (made,)
+        yield ([
+            {"h": r["h"], "ctx": r["ctx"], "n": r["n"], "raw": raw[r["a"] : r["a"] + r["size"]]}
+            for r in rows
+        ],)
 
 
-def shard_spans(
-    h: np.ndarray, n: np.ndarray, before: np.ndarray, raws: list[bytes], length: int
-) -> list[list[dict]]:
-    """Per context the spans, counted from its anchor, of strings that occur twice or more.
+def shard_spans(n: np.ndarray, raws: list[bytes], length: int) -> list[list[dict]]:
+    """Per context the spans of strings that occur at two or more places.
 
-    ``h`` names the anchor and ``n`` the number of places of a context. Strings
-    count as the same place of an anchor only at the same distance from it.
+    ``n`` is the number of places of each context.
     """
     sizes = np.fromiter(map(len, raws), np.int64, len(raws))
     joined = np.frombuffer(b"\0".join(raws) + b"\0", np.uint8)
@@ -311,22 +310,15 @@ def shard_spans(
     owner = np.repeat(np.arange(len(raws)), sizes + 1)
     t = joined.astype(np.int64) + 2
     t[starts + sizes] = 1
-    sa = suffix_array(np.append(t, 0))[1:]
+    sa = suffix_array(np.append(t, 0), length)[1:]
     offset = np.arange(len(t)) - starts[owner]
     whole = offset <= sizes[owner] - length
     places = sa[whole[sa]]
-    if not len(places):
-        return [[] for _ in raws]
     common = plcp(joined, places, length)
-    group = np.cumsum(common[places] < length)
-    who = owner[places]
-    named = np.unique(h, return_inverse=True)[1]
-    key = (group * (named.max() + 1) + named[who]) * length + before[who] - offset[places]
-    order = np.argsort(key)
-    first = np.concatenate([[0], np.flatnonzero(np.diff(key[order])) + 1])
-    total = np.add.reduceat(n[who[order]], first)
-    again = np.repeat(total >= 2, np.diff(np.append(first, len(order))))
-    hit = np.sort(places[order[again]])
+    first = np.flatnonzero(common[places] < length)
+    total = np.add.reduceat(n[owner[places]], first)
+    again = np.repeat(total >= 2, np.diff(np.append(first, len(places))))
+    hit = np.sort(places[again])
     out: list[list[dict]] = [[] for _ in raws]
     if not len(hit):
         return out
@@ -335,7 +327,7 @@ def shard_spans(
     last = np.append(first[1:], len(hit)) - 1
     for s, e in zip(hit[first].tolist(), hit[last].tolist(), strict=True):
         k = int(owner[s])
-        origin = int(starts[k] + before[k])
+        origin = int(starts[k])
         out[k].append({"first": s - origin, "end": e + length - origin})
     return out
 
@@ -348,11 +340,17 @@ def _sharded(contexts: DataFrame, length: int) -> DataFrame:
     spans_type = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
 
     def close(rows: list[tuple]) -> pa.RecordBatch:
-        h = np.array([r[0] for r in rows], np.int64)
-        spans = shard_spans(
-            h, np.array([r[2] for r in rows]), np.array([r[3] for r in rows]), [r[4] for r in rows], length
+        # A context alone with its anchor has nothing to be sorted against: its count decides.
+        many = Counter(r[0] for r in rows)
+        sorted_ = [r for r in rows if many[r[0]] > 1]
+        found = iter(
+            shard_spans(np.array([r[2] for r in sorted_]), [r[3] for r in sorted_], length) if sorted_ else ()
         )
-        columns = [pa.array(h), pa.array([r[1] for r in rows], pa.int64()), pa.array(spans, spans_type)]
+        spans = [
+            next(found) if many[r[0]] > 1 else [{"first": 0, "end": len(r[3])}] * (r[2] > 1) for r in rows
+        ]
+        columns = [pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)]
+        columns.append(pa.array(spans, spans_type))
         return pa.RecordBatch.from_arrays(columns, ["h", "ctx", "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,30 +364,30 @@ def _sharded(contexts: DataFrame, length: int) -> DataFrame:
                     yield close(rows)
                     rows, held = [], 0
                 rows.append(row)
-                held += len(row[4])
+                held += len(row[3])
         if rows:
             yield close(rows)
 
-    placed = contexts.select("h", "ctx", "n", "before", "raw").repartition("h")
+    placed = contexts.select("h", "ctx", "n", "raw").repartition("h")
     return placed.sortWithinPartitions("h", "ctx").mapInArrow(run, f"h long, ctx long, spans {_SPANS}")
 
 
 def _counted(contexts: DataFrame, length: int) -> DataFrame:
     """(h, ctx, spans) of anchors with very many contexts: a group-by over their strings."""
 
-    def strings(befores: list[int], raws: list[bytes]) -> Iterator[tuple]:
-        for before, raw in zip(befores, raws, strict=True):
+    def strings(raws: list[bytes]) -> Iterator[tuple]:
+        for raw in raws:
             view = memoryview(raw)
             yield ([
-                {"r": s - before, "w": xxhash.xxh3_128_digest(view[s : s + length])}
+                {"r": s, "w": xxhash.xxh3_128_digest(view[s : s + length])}
                 for s in range(len(raw) - length + 1)
             ],)
 
     once = contexts.dropDuplicates(["h", "ctx"])
-    made = map_rows(once, ["h", "ctx", "n"], ["before", "raw"], strings, "s array<struct<r:int,w:binary>>")
+    made = map_rows(once, ["h", "ctx", "n"], ["raw"], strings, "s array<struct<r:int,w:binary>>")
     rows = made.select("h", "ctx", "n", F.explode("s").alias("s")).select("h", "ctx", "n", "s.*")
-    total = rows.groupBy("h", "r", "w").agg(F.sum("n").alias("total")).filter("total >= 2")
-    again = rows.join(total, ["h", "r", "w"])
+    total = rows.groupBy("h", "w").agg(F.sum("n").alias("total")).filter("total >= 2")
+    again = rows.join(total, ["h", "w"])
     span = F.struct(F.col("r").alias("first"), (F.col("r") + length).alias("end"))
     return again.groupBy("h", "ctx").agg(F.collect_list(span).cast(_SPANS).alias("spans"))
 
@@ -405,7 +403,7 @@ def repeated_spans(
         ["id", "text_key"],
         ["text"],
         lambda texts: _anchor_rows(texts, length),
-        "anchors array<struct<h:long,ctx:long,a:int>>",
+        "anchors array<struct<h:long,ctx:long,a:int,size:int>>",
     )
     # Stored once, so the numbers given to texts hold for all later reads.
     texts = store.put(
@@ -417,21 +415,24 @@ def repeated_spans(
     distinct = store.put(
         "contexts",
         places.groupBy("h", "ctx").agg(
-            F.count(F.lit(1)).alias("n"), F.min("tid").alias("tid"), F.min_by("a", "tid").alias("a")
+            F.count(F.lit(1)).alias("n"),
+            F.min("tid").alias("tid"),
+            F.min_by("a", "tid").alias("a"),
+            F.min("size").alias("size"),
         ),
     )
     wanted = (
         distinct.groupBy("tid")
-        .agg(F.collect_list(F.struct("h", "ctx", "n", "a")).alias("wanted"))
+        .agg(F.collect_list(F.struct("h", "ctx", "n", "a", "size")).alias("wanted"))
         .join(texts.select("tid", "id", "text_key"), "tid")
     )
-    around = "c array<struct<h:long,ctx:long,n:long,before:int,raw:binary>>"
+    around = "c array<struct<h:long,ctx:long,n:long,raw:binary>>"
     contexts = (
         map_rows(
             rows.join(wanted, ["text_key", "id"]),
             [],
             ["wanted", "text"],
-            lambda w, t: _context_rows(w, t, length),
+            _context_rows,
             around,
         )
         .select(F.explode("c").alias("c"))
