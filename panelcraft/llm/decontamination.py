@@ -32,7 +32,7 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CASED_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Rarest terms of a window whose lists are intersected before words are compared.
 RAREST = 2
-#: Test vocabularies up to this many terms are sent to every executor.
+#: Tables of test terms up to this many rows are sent to every executor; larger ones are shuffled.
 MOST_SENT = 200_000
 END = -1
 
@@ -122,9 +122,10 @@ def _ranked(index: Index, tests: DataFrame) -> DataFrame:
 
 def phrase_matches(index: Index, tests: DataFrame, corpus: DataFrame, store: Stored) -> DataFrame:
     """(key, matches): the places (start, length, window) of every window in each text."""
-    rare = _ranked(index, tests).filter(F.col("rank") <= RAREST)
+    rare = store.put("rare", _ranked(index, tests).filter(F.col("rank") <= RAREST))
+    sent = rare.count() <= MOST_SENT
     starts = (
-        index.postings.join(rare, "term_id")
+        index.postings.join(F.broadcast(rare) if sent else rare.hint("merge"), "term_id")
         .select("key", "window", "length", (F.col("pos") - F.col("offset")).alias("start"), "rank")
         .filter(F.col("start") >= 0)
     )
@@ -188,7 +189,7 @@ def contamination(corpus: DataFrame, items: DataFrame, length: int = 13, share:
     tests = store.put("windows", windows(items, length))
     index = build_index(corpus, tests, store)
     matches = store.put("matches", phrase_matches(index, tests, corpus, store))
-    store.drop("candidates")
+    store.drop("candidates", "rare")
     covered = F.flatten(
         F.transform("matches", lambda m: F.sequence(m["start"], m["start"] + m["length"] - 1))
     )
