@@ -246,15 +246,21 @@ class _Search:
             "shingles", sets.select("nid", F.explode("hashes").alias("key"))
         ).distinct()
         often = self.store.put("often", every.groupBy("key").count().filter("count > 1"))
-        ranked = every.join(often.hint("merge"), "key", "left").groupBy("nid").agg(
-            F.sort_array(F.collect_list(F.struct(F.coalesce("count", F.lit(1)).alias("c"), "key"))).alias("s")
+        # Shingles of one set only come first in the order; they need no join to be counted.
+        ranked = every.join(often.hint("merge"), "key").groupBy("nid").agg(
+            F.sort_array(F.collect_list(F.struct("count", "key"))).alias("s")
         )
-        size = F.size("s")
-        least = size - F.ceil(size * SIMILAR / 100.0).cast("int") + 1
-        rarest = ranked.select("nid", F.posexplode(F.slice("s", F.lit(1), least)).alias("pos", "x"))
-        rare = rarest.filter("x.c > 1").select("nid", F.col("x.key").alias("key"), "pos")
+        alone = F.col("n") - F.size("s")
+        most = F.col("n") - F.ceil(F.col("n") * SIMILAR / 100.0).cast("int") + 1
         sizes = self.nodes.select("nid", "n").hint("merge")
-        placed = self.store.put("rare", self._rooted(rare.join(sizes, "nid"), roots))
+        rare = ranked.join(sizes, "nid").select(
+            "nid",
+            "n",
+            alone.alias("alone"),
+            F.posexplode(F.slice("s", F.lit(1), F.greatest(F.lit(0), most - alone))).alias("at", "x"),
+        )
+        rare = rare.select("nid", "n", F.col("x.key").alias("key"), (F.col("alone") + F.col("at")).alias("pos"))
+        placed = self.store.put("rare", self._rooted(rare, roots))
         return direct.unionByName(_across(_with_main(placed))).distinct()
 
 
