@@ -9,8 +9,10 @@ texts stay whatever the language's usual figures are.
 
 Defined cases: a null text has no words and no tokens; a text without tokens
 has null figures and fails by its word count; a null language falls to the
-script band ``script:<name>``; languages with fewer than ``least`` texts use
-the band over all texts. Repeated rows are judged one by one.
+script band ``script:<name>`` of such texts. Where a band comes from fewer than
+``least`` texts, a text is rejected only if its figure also leaves the band over
+all texts of its script; if that script has fewer than ``least`` texts too, the
+bands reject nothing. Repeated rows are judged one by one.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import re
 import unicodedata
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcraft.llm.common import Stored, map_rows
@@ -171,13 +173,13 @@ def measured(
     )
 
 
-def bands(stats: DataFrame, width: float, least: int) -> DataFrame:
-    """(band, <figure>_low, <figure>_high) per language or script; one row each."""
+def bands(stats: DataFrame, by: str, width: float) -> DataFrame:
+    """(``by``, n, <figure>_low, <figure>_high) over all texts; n counts texts with tokens."""
     quartiles = [
         F.percentile_approx(f, [0.25, 0.75], 1000).alias(f) for f in FIGURES
     ]
-    found = stats.groupBy("band").agg(F.count("chars_per_token").alias("n"), *quartiles)
-    return found.filter(F.col("n") >= least).select("band", *_limits(width))
+    found = stats.groupBy(by).agg(F.count("chars_per_token").alias("n"), *quartiles)
+    return found.select(by, "n", *_limits(width))
 
 
 def _limits(width: float) -> list:
@@ -189,6 +191,21 @@ def _limits(width: float) -> list:
     return columns
 
 
+def _outside(least: int) -> Column:
+    """True if a figure leaves the band ``own``, where that has few texts also the band ``wide``."""
+    outside = F.lit(False)
+    for f in FIGURES:
+        past = {
+            side: F.coalesce(
+                (F.col(f) < F.col(f"{side}.{f}_low")) | (F.col(f) > F.col(f"{side}.{f}_high")),
+                F.lit(False),
+            )
+            for side in ("own", "wide")
+        }
+        outside = outside | (past["own"] & ((F.col("own.n") >= least) | past["wide"]))
+    return outside
+
+
 def fertility_filter(
     docs: DataFrame,
     width: float = 2.5,
@@ -198,23 +215,23 @@ def fertility_filter(
 ) -> DataFrame:
     """Every document's counts and figures, ``base_failed`` and ``kept``.
 
-    The measured rows are stored once: the bands come from all of them. A band
-    table has one row per language or script.
+    The measured rows are stored once: the bands come from all of them. The two
+    band tables have one row per language and one per script.
     """
     store = Stored(docs.sparkSession)
     band = F.coalesce("lang", F.concat(F.lit("script:"), F.col("script")))
     stats = store.put("fertility", measured(docs, bpe_path, piece_path)).withColumn("band", band)
-    quartiles = [F.percentile_approx(f, [0.25, 0.75], 1000).alias(f) for f in FIGURES]
-    overall = stats.agg(*quartiles).select(*_limits(width)).first()  # six numbers
-    limits = store.put("bands", bands(stats, width, least))
-    if limits.count() <= MOST_SENT:
-        limits = F.broadcast(limits)
-    joined = stats.join(limits, "band", "left")
-    outside = F.lit(False)
-    for f in FIGURES:
-        low = F.coalesce(f"{f}_low", F.lit(overall[f"{f}_low"]))
-        high = F.coalesce(f"{f}_high", F.lit(overall[f"{f}_high"]))
-        outside = outside | F.coalesce((F.col(f) < low) | (F.col(f) > high), F.lit(False))
+    joined = stats
+    for by, side in (("band", "own"), ("script", "wide")):
+        found = bands(stats, by, width)
+        if side == "wide":
+            found = found.filter(F.col("n") >= least)
+        limits = [c for c in found.columns if c != by]
+        found = store.put(side, found.select(by, F.struct(*limits).alias(side)))
+        if found.count() <= MOST_SENT:
+            found = F.broadcast(found)
+        joined = joined.join(found, by, "left")
+    outside = _outside(least)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return joined.select(

@@ -82,6 +82,28 @@ def test_bands_reject_what_differs_from_its_language(spark):
     assert sum(kept.values()) == 60
 
 
+@pytest.mark.parametrize("n", [1, 20])
+def test_rare_languages_are_not_judged_by_others(spark, n):
+    import random
+
+    from tests.llm.conftest import sentence
+
+    rng = random.Random(4)
+    thai = [chr(c) for c in (0x0E01, 0x0E02, 0x0E04, 0x0E07, 0x0E08, 0x0E19, 0x0E1A, 0x0E1E)]
+    rows = [(k, sentence(rng, 120), "en", "s", 1) for k in range(300)]
+    for k in range(n):
+        words = " ".join("".join(rng.choices(thai, k=5)) for _ in range(120))
+        rows.append((1000 + k, words, "th", "s", 1))  # few texts of its script
+        rows.append((2000 + k, words, None, "s", 1))
+        words = " ".join("".join(rng.choices("qxzj", k=7)) for _ in range(120))
+        rows.append((3000 + k, words, "yy", "s", 1))  # few texts of its language
+    noise = " ".join("".join(rng.choices("#$%&~^@!;:", k=7)) + "a" for _ in range(120))
+    rows += [(4000, noise, "en", "s", 1)]
+    rows += [(4001, noise, "yy", "s", 1)] * (n > 1)
+    kept = {r.doc_id: r.kept for r in fertility.fertility_filter(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [k for k, v in kept.items() if not v] == [k for k in kept if k >= 4000]
+
+
 # Personal data.
 
 JAVA_FREE = {k.name: k.plain for k in pii.KINDS if k.always}
