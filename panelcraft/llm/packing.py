@@ -50,7 +50,8 @@ class CachedTokenizer:
 
     Texts whose characters all lie below U+0250 are lowered and cut into words
     here; such characters are unchanged by the vocabulary's Unicode
-    normalisation. Any other text goes through the tokenizer as a whole.
+    normalisation. Any other text, and any that names one of the vocabulary's
+    added tokens (as ``<|endoftext|>``), goes through the tokenizer as a whole.
     """
 
     PLAIN = "[\t-\r -~\xa1-ɏ]*"
@@ -61,7 +62,7 @@ class CachedTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.plain = regex.compile(self.PLAIN)
         self.word = regex.compile(self.WORD)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -92,8 +93,10 @@ class CachedTokenizer:
         out: list = [None] * len(texts)
         cut, odd = {}, []
         for k, text in enumerate(texts):
-            if self.plain.fullmatch(text) and "İ" not in text:
-                cut[k] = self.word.findall(text.lower())
+            lower = text.lower()
+            named = any(token in lower for token in self.added)
+            if not named and "İ" not in text and self.plain.fullmatch(text):
+                cut[k] = self.word.findall(lower)
             else:
                 odd.append(k)
         for k, ids in zip(odd, self._whole([texts[k] for k in odd]), strict=True):

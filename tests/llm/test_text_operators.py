@@ -363,3 +363,16 @@ def test_cached_tokens_are_those_of_the_tokenizer(text):
     t = packing.tokenizer(packing.vocabulary())
     expected = t.tokenizer.encode(text, add_special_tokens=False).ids
     assert t.encode([text, text + " end"])[0].tolist() == expected
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["a", " ", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "漢", "9"]), max_size=12))
+def test_added_tokens_are_those_of_a_default_tokenizer(parts):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.vocabulary())
+    t = packing.tokenizer(packing.vocabulary())
+    for text in ("".join(parts), "a <|endoftext|> b"):
+        expected = plain.encode(text, add_special_tokens=False).ids
+        assert t.encode([text, "a b"])[0].tolist() == expected
+    assert t.encode(["a <|endoftext|> b"])[0].tolist() == [320, 49407, 321]
