@@ -6,7 +6,13 @@ digit counts of phones, mod-97 of bank account numbers. A score starts at the
 kind's own value and is moved by words near the span, up to ``NEAR`` code
 points of text to either side (not beyond the next proposal of that kind).
 The four base kinds stay whatever their score; the kinds added by the method
-need a score of ``THRESHOLD``.
+need a score of ``THRESHOLD``. ``redact`` takes the words near a span of an
+added kind from the whole text, past other proposals too.
+
+An account number is tried from every word that can begin one: at its
+country's length (``IBAN_LENGTHS``) first, so that upper-case words or digits
+after it do no harm, then as the longest run of groups. For a country without a
+known length every word edge is tried, the longest first.
 
 Patterns use possessive repeats and look-behinds where these cannot change the
 matches: Java's engine then neither recurses per repeat nor rescans long runs.
@@ -79,6 +85,18 @@ KINDS = (
     Kind("secret", r"[0-9a-f]{32,}+", r"[0-9a-f]{32,}", 0.4, "token|secret|key|passw"),
 )
 CONTEXT_GAIN = 0.3
+#: Characters of a bank account number by its country, and those countries.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD AL CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: A word that can begin an account number; the longest run of groups and the character after it.
+_IBAN_START = r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11})"
+_IBAN_RUN = r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?s:.)))"
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -130,8 +148,6 @@ def _confirmed(kind: str, hit: Column, before: Column, after: Column) -> Column:
         return F.when(F.length(digits).between(13, 19), luhn(digits)).otherwise(F.lit(False))
     if kind == "phone":
         return F.length(_digits(hit)).between(9, 15)
-    if kind == "iban":
-        return _apart(before, after, "[A-Za-z0-9]") & mod97(F.regexp_replace(hit, " ", ""))
     if kind == "ssn":
         return _apart(before, after, "[0-9-]") & ~hit.rlike("^(000|666|9)|-00-|0000$")
     if kind == "secret":
@@ -150,8 +166,66 @@ def _score(kind: Kind, before: Column, after: Column) -> Column:
 _SPAN = "array<struct<kind:string,start:bigint,`end`:bigint,score:double>>"
 
 
-def _spans(kind: Kind) -> Column:
-    """Confirmed spans of a kind from its proposals and the gaps between them."""
+def _iban_length(run: Column) -> Column:
+    """Characters of the account number that a run of groups begins with, or null."""
+    known = F.create_map(
+        *[F.lit(x) for n, names in IBAN_LENGTHS.items() for c in names.split() for x in (c, n)]
+    )[F.substring(run, 1, 2)]
+
+    def number(n: Column) -> Column:
+        return F.replace(F.substr(run, F.lit(1), n), F.lit(" "), F.lit(""))
+
+    def fits(n: Column) -> Column:
+        edge = F.substr(run, n, F.lit(2)).rlike("^[A-Z0-9][^A-Za-z0-9]")
+        length = F.length(number(n))
+        usual = known.isNull() | (length == known) | (n == F.length(run) - 1)
+        return edge & (length >= 15) & usual & mod97(number(n))
+
+    ends = F.filter(F.sequence(F.length(run) - 1, F.lit(15), F.lit(-1)), fits)
+    own = F.get(F.filter(ends, lambda n: F.length(number(n)) == known), F.lit(0))
+    return F.coalesce(own, F.get(ends, F.lit(0)))
+
+
+def _iban_spans(kind: Kind, text: Column) -> Column:
+    """Account numbers, none inside another. ``text`` has one more character at either end."""
+    lengths, gaps = F.col("__hits_iban"), F.col("__gaps_iban")
+    start = F.struct(
+        F.length(gaps[0]).cast("long").alias("at"),
+        F.lit(0).cast("long").alias("free"),
+        F.array().cast(_SPAN).alias("spans"),
+    )
+
+    def step(state: Column, i: Column) -> Column:
+        at = state["at"]  # characters before the run, with the added one
+        end = at + lengths[i]
+        before = F.substr(text, F.greatest(at - NEAR, F.lit(0)) + 1, F.least(at, F.lit(NEAR)))
+        after = F.substr(text, end + 1, F.lit(NEAR))
+        span = F.struct(
+            F.lit(kind.name).alias("kind"),
+            (at - 1).alias("start"),
+            (end - 1).alias("end"),
+            _score(kind, before, after).alias("score"),
+        )
+        keep = lengths[i].isNotNull() & (at >= state["free"])
+        return F.struct(
+            (at + F.length(gaps[i + 1])).alias("at"),
+            F.when(keep, end).otherwise(state["free"]).cast("long").alias("free"),
+            F.when(keep, F.concat(state["spans"], F.array(span)))
+            .otherwise(state["spans"])
+            .cast(_SPAN)
+            .alias("spans"),
+        )
+
+    found = F.aggregate(F.sequence(F.lit(0), F.size(lengths) - 1), start, step, lambda s: s["spans"])
+    return F.when(F.size(lengths) > 0, found).otherwise(F.array().cast(_SPAN))
+
+
+def _spans(kind: Kind, past: bool) -> Column:
+    """Confirmed spans of a kind from its proposals and the gaps between them.
+
+    With ``past`` the words near a span of an added kind may lie beyond the next
+    proposals: three of them, as the shortest has 11 characters, fill ``NEAR``.
+    """
     hits, gaps = F.col(f"__hits_{kind.name}"), F.col(f"__gaps_{kind.name}")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("spans"))
 
@@ -159,7 +233,16 @@ def _spans(kind: Kind) -> Column:
         hit, before, after = hits[i], gaps[i], gaps[i + 1]
         begin = state["at"] + F.length(before)
         end = begin + F.length(hit)
-        score = _score(kind, before, after)
+        near = (before, after)
+        if past and not kind.always:
+            near = tuple(
+                F.concat_ws("", *[F.coalesce(F.get(x, i + k), F.lit("")) for x, k in order])
+                for order in (
+                    [p for k in (-3, -2, -1) for p in ((gaps, k), (hits, k))] + [(gaps, 0)],
+                    [(gaps, 1)] + [p for k in (1, 2, 3) for p in ((hits, k), (gaps, k + 1))],
+                )
+            )
+        score = _score(kind, *near)
         keep = _confirmed(kind.name, hit, before, after)
         if not kind.always:
             keep = keep & (score >= THRESHOLD)
@@ -173,9 +256,10 @@ def _spans(kind: Kind) -> Column:
     return F.when(F.size(hits) > 0, found).otherwise(F.array().cast(_SPAN))
 
 
-def find_pii(docs: DataFrame) -> DataFrame:
+def find_pii(docs: DataFrame, past: bool = False) -> DataFrame:
     """All columns of ``docs`` and ``pii``: (kind, start, end, score) by kind, then start.
 
+    ``past``: words near a social security number count beyond its neighbours too.
     A column named ``pii`` in the input is replaced.
     """
     kept = [c for c in docs.columns if c.lower() != "pii"]
@@ -183,7 +267,11 @@ def find_pii(docs: DataFrame) -> DataFrame:
     rows = docs.select(*kept, F.coalesce("text", F.lit("")).alias("__text"))
     none = F.array().cast("array<string>")
 
+    padded = F.concat(F.lit(" "), text, F.lit(" "))  # a split at the very start would be lost
+
     def hits(kind: Kind) -> Column:
+        if kind.name == "iban":
+            return F.transform(F.regexp_extract_all(padded, F.lit(_IBAN_RUN), F.lit(1)), _iban_length)
         found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
         return F.when(F.contains(text, F.lit(kind.hint)), found).otherwise(none) if kind.hint else found
 
@@ -191,11 +279,15 @@ def find_pii(docs: DataFrame) -> DataFrame:
     rows = rows.select(
         "*",
         *[
-            F.when(F.size(f"__hits_{k.name}") > 0, F.split(text, k.pattern, -1)).alias(f"__gaps_{k.name}")
+            F.when(
+                F.size(f"__hits_{k.name}") > 0,
+                F.split(padded, _IBAN_START, -1) if k.name == "iban" else F.split(text, k.pattern, -1),
+            ).alias(f"__gaps_{k.name}")
             for k in KINDS
         ],
     )
-    return rows.select(*kept, F.concat(*[_spans(k) for k in KINDS]).alias("pii"))
+    spans = [_iban_spans(k, padded) if k.name == "iban" else _spans(k, past) for k in KINDS]
+    return rows.select(*kept, F.concat(*spans).alias("pii"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -204,7 +296,7 @@ def redact(docs: DataFrame) -> DataFrame:
     Of overlapping spans the first decides the mark, and all their text goes.
     A null text stays null.
     """
-    found = find_pii(docs)
+    found = find_pii(docs, past=True)
     ordered = F.array_sort(
         F.transform("pii", lambda s: F.struct(s["start"], s["end"], s["kind"]))
     )

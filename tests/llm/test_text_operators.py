@@ -173,6 +173,34 @@ def test_added_kinds_need_validators_or_context(spark):
     assert found[5] == ["ssn"]  # the next proposal of the kind ends the context
 
 
+def test_account_numbers_end_at_their_length(spark):
+    de, gb, spaced = "DE89370400440532013000", "GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32"
+    texts = {
+        f"IBAN {de} Thanks": [de],
+        f"IBAN: {spaced} BIC: WESTGB2L": [spaced],
+        f"{de} {gb}": [de, gb],
+        f"{spaced} {de} AND MORE 12": [spaced, de],
+        f"😀 AB12 CDEF {de}\n{gb}.": [de, gb],
+        f"x{gb} {de}": [de],
+        f"{de}a {de}1 {gb}É": [gb],
+        "ZZ33 1234 5678 9012 345 OK THEN": ["ZZ33 1234 5678 9012 345"],  # no known length
+        "AB12 " * 3_000: [],
+    }
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    listed = list(texts)
+    for row in pii.find_pii(frame).collect():
+        text = listed[row.doc_id]
+        assert [text[s.start : s.end] for s in row.pii if s.kind == "iban"] == texts[text], text[:80]
+
+
+def test_redaction_takes_context_past_other_numbers(spark):
+    texts = ["ssn 123-45-6789, 123-45-6780", "123-45-6789 123-45-6780 ssn", "ssn " + "x" * 40 + " 123-45-6789"]
+    texts += ["IBAN DE89370400440532013000 Thanks"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.redact(frame).collect()}
+    assert got == {0: "ssn [SSN], [SSN]", 1: "[SSN] [SSN] ssn", 2: texts[2], 3: "IBAN [IBAN] Thanks"}
+
+
 def test_redaction(spark, edges, none, clashing):
     text = "mail a@b.cd, +1 (017) 555-7713 and 4111111111111111."
     frame = spark.createDataFrame([(1, text), (2, None), (3, "clean")], "doc_id long, text string")
