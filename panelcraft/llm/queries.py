@@ -18,6 +18,7 @@ from panelcraft.llm import (
     pii,
     quality,
     suffix_dedup,
+    toxicity,
 )
 from panelcraft.llm.common import fold, table
 
@@ -150,3 +151,12 @@ def op9_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 5) == 0
+    weights = toxicity.learn_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.toxicity_scores(docs, weights)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
