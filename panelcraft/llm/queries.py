@@ -17,6 +17,7 @@ from panelcraft.llm import (
     packing,
     pii,
     quality,
+    ranked_search,
     suffix_dedup,
     toxicity,
 )
@@ -160,3 +161,11 @@ def op12_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = toxicity.learn_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out)
     scored = toxicity.toxicity_scores(docs, weights)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op13_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_stratified_search"] = ranked_search.sql()
