@@ -19,6 +19,7 @@ from panelcraft.llm import (
     quality,
     ranked_search,
     suffix_dedup,
+    token_alignment,
     toxicity,
 )
 from panelcraft.llm.common import fold, table
@@ -154,6 +155,11 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokenizers(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op12_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
