@@ -21,6 +21,9 @@ from __future__ import annotations
 
 import bisect
 import functools
+import itertools
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -54,17 +57,19 @@ class CachedTokenizer:
     added tokens (as ``<|endoftext|>``), goes through the tokenizer as a whole.
     """
 
-    PLAIN = "[\t-\r -~\xa1-ɏ]*"
-    WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    #: End of the plain characters, which are unchanged by the vocabulary's normalisation.
+    PLAIN = 0x250
 
     def __init__(self, path: str, most: int = 400_000):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = regex.compile(self.PLAIN)
-        self.word = regex.compile(self.WORD)
+        kinds = [unicodedata.category(chr(c))[0] for c in range(self.PLAIN)]
+        letter, digit = ("".join(chr(c) for c, k in enumerate(kinds) if k == kind) for kind in "LN")
+        self.plain = re.compile(f"[\t-\r -~\xa1-{chr(self.PLAIN - 1)}]*")
+        # The vocabulary's own pattern of words, with its classes spelt out over the plain characters.
+        self.word = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{letter}]+|[{digit}]|[^\s{letter}{digit}]+")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -76,8 +81,6 @@ class CachedTokenizer:
 
     def _learn(self, words: set[str]) -> None:
         """Ids of new words, encoded as one line; each word ends at its first word-end token."""
-        if len(self.known) + len(words) > self.most:
-            self.known.clear()
         listed = sorted(words)
         ids = self._whole([" ".join(listed)])[0]
         cuts = np.flatnonzero(self.ends[ids]) + 1
@@ -101,10 +104,13 @@ class CachedTokenizer:
                 odd.append(k)
         for k, ids in zip(odd, self._whole([texts[k] for k in odd]), strict=True):
             out[k] = ids
-        new = {w for words in cut.values() for w in words if w not in self.known}
+        wanted = set(itertools.chain.from_iterable(cut.values()))
+        new = wanted.difference(self.known)
+        if len(self.known) + len(new) > self.most:
+            self.known.clear()
+            new = wanted
         if new:
-            kept = {w for words in cut.values() for w in words} if len(self.known) + len(new) > self.most else new
-            self._learn(kept)
+            self._learn(new)
         for k, words in cut.items():
             out[k] = np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32)
         return out

@@ -276,7 +276,6 @@ def check_packing(rows, got):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(packing.vocabulary())
-    plain.encode_special_tokens = True
     expected = Counter()
     for doc_id, text, *_ in rows:
         ids = [*plain.encode(text or "", add_special_tokens=False).ids, 0]
@@ -307,6 +306,23 @@ def test_packing(spark, edges, none, clashing):
     assert sequences <= 1.02 * tokens / 2048 + 1
 
 
+def test_cached_ids_are_those_of_a_default_tokenizer():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.vocabulary())
+    rng = random.Random(6)
+    parts = [
+        "the", "don't", "I'LL", "'s", "'re'd", "Été", "x²½", "ß", "1234", "a_b", "...", "İstanbul", "µm", "ª", "×",
+        "\xad", "\xa0", "\x1c", "\x85", "漢字", "e\u0301", "<|endoftext|>", "<|StartOfText|>", "ǅ", "ʼn", "\t", "\r\n",
+    ]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(0, 20))) for _ in range(2_000)]
+    cached = packing.CachedTokenizer(packing.vocabulary(), most=60)
+    for k in range(0, len(texts), 50):
+        found = cached.encode(texts[k : k + 50])
+        expected = [plain.encode(t, add_special_tokens=False).ids for t in texts[k : k + 50]]
+        assert [ids.tolist() for ids in found] == expected
+
+
 # The pipeline.
 
 
