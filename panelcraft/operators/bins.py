@@ -11,6 +11,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelcraft.functions.columns import as_number
 from panelcraft.operators.ranks import Copies, select_ranks
@@ -66,10 +67,16 @@ def _edge_sets(f: Feature) -> Column:
     return F.coalesce(groups, F.array())
 
 
-def _any_of(features: Sequence[Feature], period: Column) -> Column:
-    return period.between(
-        min(f.first_base - f.months + 1 for f in features), max(f.last_base for f in features)
-    )
+def _rows_of(panel: DataFrame, features: Sequence[Feature]) -> DataFrame:
+    """Rows with a key whose period any window can hold.
+
+    An integer period is compared in its own type, so that the range reaches the scan.
+    """
+    key, period = F.col(features[0].key), F.col(features[0].period)
+    if not isinstance(panel.schema[features[0].period].dataType, T.IntegralType):
+        period = period.cast("int")
+    first = min(f.first_base - f.months + 1 for f in features)
+    return panel.where(key.isNotNull() & period.between(first, max(f.last_base for f in features)))
 
 
 def _rank_edges(panel: DataFrame, features: Sequence[Feature]) -> DataFrame:
@@ -81,10 +88,9 @@ def _rank_edges(panel: DataFrame, features: Sequence[Feature]) -> DataFrame:
         ]
     )
     rows = (
-        panel.where(F.col(features[0].key).isNotNull())
+        _rows_of(panel, features)
         .select(F.col(features[0].period).cast("int").alias("p"), F.explode(values).alias("t"))
         .select("p", "t.*")
-        .where(_any_of(features, F.col("p")))
     )
     sets = F.array()
     for i, c in enumerate(columns):
@@ -99,7 +105,7 @@ def _rank_edges(panel: DataFrame, features: Sequence[Feature]) -> DataFrame:
             F.sequence(F.lit(0), F.col("bins") - 1), lambda i: F.floor(i * ((n - 1) / F.col("bins")))
         ),
         few_groups=True,
-        copies=Copies(["column"], ["p"], sets),
+        copies=Copies(["column", "p"], sets),
     )
     return wanted.select(
         "edge_set", BASE, F.col("position").alias("ordinal"), F.col("value").alias("edge")
@@ -111,7 +117,7 @@ def _width_edges(panel: DataFrame, features: Sequence[Feature]) -> DataFrame:
     values = sorted({f.value for f in features})
     # One row per period after the first aggregate, so copies are cheap.
     per_period = (
-        panel.where(F.col(features[0].key).isNotNull() & _any_of(features, period))
+        _rows_of(panel, features)
         .groupBy(period.alias("p"))
         .agg(
             *[F.min(as_number(F.col(f"`{v}`"))).alias(f"min_{i}") for i, v in enumerate(values)],

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcraft.functions.columns import as_number
-from panelcraft.operators.ranks import exact_medians
+from panelcraft.operators.ranks import exact_medians, sketch
 
 # Positions in the range [min, max] of a column, in percent.
 RANGE_POINTS = (25, 50, 75, 90, 95)
@@ -73,7 +73,7 @@ def _long_form(columns: Sequence[str], fields: Sequence[str]) -> Column:
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """cnt, sum, min, max, avg, med, cnt_isna, pct_isna: one row per column."""
     columns = list(columns)
-    fields = ("cnt", "sum", "min", "max", "avg", "cnt_isna", "pct_isna")
+    fields = ("cnt", "sum", "min", "max", "avg", "cnt_isna", "pct_isna", "_sketch", "_n")
     aggregates = []
     rows = F.count(F.lit(1))
     for i, c in enumerate(columns):
@@ -89,17 +89,24 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.avg(v),
                 missing,
                 F.coalesce(safe_share(missing, rows), F.lit(0.0)),
+                sketch(v),
+                F.count(v),
             ),
             strict=True,
         ):
             aggregates.append(value.alias(f"{field}_{i}"))
-    stats = df.agg(*aggregates).select(_long_form(columns, fields).alias("s")).select("s.*")
+    # One row, whose sketches bracket the medians for the second pass.
+    whole = df.agg(*aggregates)
+    whole = df.sparkSession.createDataFrame(whole.collect(), whole.schema)
+    stats = whole.select(_long_form(columns, fields).alias("s")).select("s.*")
     values = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("var_name"), _number(c).alias("v")) for c in columns])
         ).alias("t")
     ).select("t.*")
-    medians = exact_medians(values, ["var_name"], "v", few_groups=True).withColumnRenamed("median", "med")
+    medians = exact_medians(
+        values, ["var_name"], "v", few_groups=True, sketched=stats.select("var_name", "_sketch", "_n")
+    ).withColumnRenamed("median", "med")
     return stats.join(medians, "var_name", "left").select(
         "var_name", "cnt", "cnt_isna", "pct_isna", "sum", "min", "max", "avg", "med"
     )

@@ -22,26 +22,50 @@ def panel(spark):
     return spark.createDataFrame(ROWS, SCHEMA).cache()
 
 
-@pytest.mark.parametrize("stretch", [4, 256, 1 << 16])
-def test_ranks_of_a_hot_group(spark, monkeypatch, stretch):
-    monkeypatch.setattr(ranks, "STRETCH", stretch)
+@pytest.mark.parametrize("few", [False, True])
+@pytest.mark.parametrize("size, slack, limit", [(2000, 0.004, 1 << 16), (16, 0.1, 40), (8, 0.02, 200)])
+def test_ranks_of_a_hot_group(spark, monkeypatch, few, size, slack, limit):
+    """Small sketches, narrow brackets and low limits make it narrow and widen; results stay exact."""
+    monkeypatch.setattr(ranks, "SKETCH", size)
     rng = random.Random(1)
     groups = {
         "hot": [float(rng.randint(0, 900)) for _ in range(3000)],
         "one_value": [5.0] * 500,
+        "half_equal": [7.0] * 1500 + [rng.uniform(-50, 50) for _ in range(1500)],
+        "all_distinct": [rng.random() for _ in range(3000)],
         "single": [1.0],
     }
     rows = [(g, v) for g, vs in groups.items() for v in vs] + [("empty", None), ("hot", None)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(8)
-    got = select_ranks(df, ["g"], "v", lambda n: F.array(F.lit(0), F.floor(n / 3), n - 1)).collect()
+    wanted = lambda n: F.array(F.lit(0), F.floor(n / 3), n - 1)
+    got = select_ranks(df, ["g"], "v", wanted, few_groups=few, slack=slack, limit=limit).collect()
     found = {(r["g"], r["position"]): r["value"] for r in got}
-    assert len(found) == len(got) == 9
+    assert len(found) == len(got) == 15
     for g, values in groups.items():
         values = sorted(values)
         for position, rank in enumerate((0, len(values) // 3, len(values) - 1)):
             assert found[g, position] == values[rank]
 
 
+def test_rank_selection_moves_and_stores_no_values(spark):
+    """Only sketches and counts are shuffled: at most one partial row per task, group and gap or bracket value."""
+    df = spark.range(200_000, numPartitions=8).select(
+        (F.col("id") % 2).alias("g"), F.hash("id").cast("double").alias("v")
+    )
+    brackets = ranks._bracketed(
+        df.groupBy("g").agg(ranks.sketch(F.col("v")).alias("_sketch"), F.count("*").alias("_n")),
+        ["g"], ranks.middle_ranks, ranks.SLACK,
+    )
+    inside = brackets.join(df, "g").where("v between low and high").groupBy("g").count().collect()
+    # Two ranks next to each other share nearly all of one bracket.
+    assert all(0 < r["count"] / 2 < 100_000 * (2 * ranks.SLACK + 3 / ranks.GRID) for r in inside)
+    found = exact_medians(df, ["g"], "v", few_groups=True)
+    plan = found._jdf.queryExecution().toString()
+    assert "Window" not in plan and "Sort" not in plan and "FileScan" not in plan
+    medians = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert {r["g"]: r["median"] for r in found.collect()} == medians
+
+
 def test_medians(spark):
     rng = random.Random(2)
     groups = {k: [rng.choice([-1.5, 0.0, 2.0, 7.25, 9.0]) for _ in range(k + 1)] for k in range(30)}
@@ -66,7 +90,8 @@ def expected_edges(kind: str, base: int, months: int, bins: int) -> list[float]:
 @pytest.mark.parametrize("kind", [LOC_BIN, VAL_BIN])
 @pytest.mark.parametrize("bins", [3, 7])
 def test_bin_shares(panel, monkeypatch, kind, bins):
-    monkeypatch.setattr(ranks, "STRETCH", 8)
+    monkeypatch.setattr(ranks, "SKETCH", 8)
+    monkeypatch.setattr(ranks, "LIMIT", 4)
     for unique in (False, True):
         got = bin_shares(
             panel, "customer", "month", "a", 4, bins, 8, 12, kind=kind, unique_periods=unique
