@@ -73,7 +73,9 @@ def trailing_features(
     ``carry`` adds the panel's own columns at the base periods of ``keep_range``.
     ``keyed`` says that the panel is already hash-partitioned by its key, as
     after a window over the key, so it is not shuffled again for that. Groups of
-    more than ``hot_rows`` rows get their medians by rank selection.
+    more than ``hot_rows`` rows get their medians by rank selection; where
+    ``unique_periods`` claims that there are none, the rows per key are counted
+    first, and a key with more makes the claim void.
     """
     features = list(features)
     key = features[0].key
@@ -83,6 +85,10 @@ def trailing_features(
         or edges is not None
         or any(f.first_base != f.last_base for f in features)
     )
+    medians = [f for f in features if f.kind == STAT and f.func == "np.median"]
+    if medians and unique_periods:
+        per_key = panel.where(F.col(f"`{key}`").isNotNull()).groupBy(f"`{key}`").count()
+        unique_periods = per_key.where(F.col("count") > hot_rows).isEmpty()
     zero_filled = [f for f in features if f.kind == RISING_STREAK]
     every_key = every_key or any(f.rows_from is None for f in zero_filled)
     runs = [f for f in features if f.kind in (STREAK, RISING_STREAK)]
@@ -104,7 +110,7 @@ def trailing_features(
             F.coalesce(F.col(f"`{c}`") == F.lit(v), F.lit(False)).alias(n)
             for (c, v), n in names.categories.items()
         ],
-        *[F.coalesce(predicate(w), F.lit(False)).alias(n) for w, n in names.filters.items()],
+        *[F.coalesce(predicate(w, panel.schema), F.lit(False)).alias(n) for w, n in names.filters.items()],
         *[F.col(f"`{c}`").alias(f"_own_{i}") for i, c in enumerate(carry)],
     ]
     known = F.col(f"`{key}`").isNotNull()
@@ -150,14 +156,13 @@ def trailing_features(
             rows = rows.join(F.broadcast(edges), BASE, "left")
     rows = rows.withColumns({n: F.expr(text) for text, n in names.windows.items()})
 
-    medians = [f for f in features if f.kind == STAT and f.func == "np.median"]
     others = [f for f in features if f not in medians]
     aggregates = [F.expr(f"{_aggregate(f, names, rolling)} AS `{f.name}`") for f in others]
     for i, c in enumerate(carry):
         own = f"{PERIOD} = {BASE} AND {BASE} BETWEEN {keep_range[0]} AND {keep_range[1]}"
         aggregates.append(F.expr(f"max(_own_{i}) FILTER (WHERE {own}) AS `{c}`"))
     result = rows.groupBy(*group).agg(*(aggregates or [F.count(F.lit(1)).alias("_rows")]))
-    if medians and (clustered or unique_periods):
+    if medians and unique_periods:
         found = _group_medians(rows, group, medians, names)
         result = result.join(found, group, "left") if aggregates else found
     elif medians:

@@ -226,3 +226,24 @@ def test_a_panel_bucketed_by_key_is_not_shuffled(spark, panel):
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
         keys = ("customer", "base_period")
         assert collected(df, keys) == collected(trailing_features(panel, part, unique_periods=True), keys)
+
+
+@pytest.mark.parametrize("rolling", [False, True])
+def test_a_wrong_claim_of_unique_periods_is_seen(spark, monkeypatch, rolling):
+    """A hot key with repeated periods takes its median by rank selection, not in one task."""
+    from panelcraft.operators import trailing
+    from panelcraft.spec import STAT, Feature
+
+    taken = []
+    ranked = trailing._ranked_medians
+    monkeypatch.setattr(trailing, "_ranked_medians", lambda *a: taken.append(1) or ranked(*a))
+    rows = [("hot", 12, float(v)) for v in range(401)] + [("cold", m, float(m)) for m in range(1, 13)]
+    df = spark.createDataFrame(rows, "customer string, month int, a double")
+    features = [Feature("mid", STAT, "customer", "month", "a", 3, "np.median").at(11 if rolling else 12, 12)]
+    got = trailing_features(df, features, unique_periods=True, hot_rows=100).collect()
+    found = {(r["customer"], r["base_period"] if rolling else 12): r["mid"] for r in got}
+    assert found["hot", 12] == 200.0 and found["cold", 12] == 11.0
+    assert taken
+    taken.clear()
+    trailing_features(df.where("customer = 'cold'"), features, unique_periods=True, hot_rows=100).collect()
+    assert not taken
