@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def as_number(column: Column) -> Column:
@@ -44,14 +45,17 @@ def period_index(timestamp: Column, unit: str) -> Column:
     raise ValueError(f"unknown period unit {unit!r}, expected 'month' or 'day'")
 
 
-def predicate(text: str) -> Column:
+def predicate(text: str, schema: T.StructType | None = None) -> Column:
     """A user's row filter such as ``month_nbr > 1 and amt != 0``.
 
     Comparisons (also chained, ``in [..]`` and ``not in [..]``), ``and``,
     ``or``, ``not`` and arithmetic over columns, numbers and text. A column
     whose name is no identifier stands in backticks. A missing value makes a
     comparison false, but satisfies ``!=`` and ``not in``; ``not`` then turns
-    either round, so a filter is never null.
+    either round, so a part of a filter is never null. The outermost comparisons
+    may be, which drops the row all the same, so that scans can use them. With the table's ``schema``, text
+    meets a number as the number that it spells; text that spells none differs
+    from every number and is neither above nor below one.
 
     The text is parsed to a tree of these parts and never evaluated. The
     bitwise spellings bind differently from and/or/not, so they are refused.
@@ -76,7 +80,17 @@ def predicate(text: str) -> Column:
                 return F.lit(constant)
         return None
 
-    return _Tree(text, value).test(_parsed(text, spelled))
+    kinds = {f.name: f.dataType for f in schema or ()}
+
+    def kind(node: ast.AST) -> T.DataType | None:
+        match node:
+            case ast.Name(id=name):
+                return kinds.get(names.get(name, name))
+            case ast.Constant(value=str()) if kinds:
+                return T.StringType()
+        return None
+
+    return _Tree(text, value, kind).test(_parsed(text, spelled), outer=True)
 
 
 def keyword_flag(column: Column, words: Sequence[str], method: str = "equal") -> Column:
@@ -106,7 +120,9 @@ def _modulo(a: Column, b: Column) -> Column:
 
 
 def _floor_division(a: Column, b: Column) -> Column:
-    return F.floor(safe_ratio(a, b)).cast("double")
+    ratio = safe_ratio(a, b)
+    # From 2 ** 53 on every double is whole, and may lie beyond the integers.
+    return F.when(F.abs(ratio) < 2.0**53, F.floor(ratio).cast("double")).otherwise(ratio)
 
 
 _ARITHMETIC = {
@@ -139,11 +155,20 @@ def _parsed(text: str, spelled: str | None = None) -> ast.AST:
 class _Tree:
     """Builds columns from the allowed parts of an expression's syntax tree.
 
-    ``leaf`` gives the column of a name or constant, or None if it knows none.
+    ``leaf`` gives the column of a name or constant, and ``kind`` the type of a
+    part, or None if they know none.
     """
 
-    def __init__(self, text: str, leaf: Callable[[ast.AST], Column | None]):
-        self.text, self.leaf = text, leaf
+    def __init__(
+        self,
+        text: str,
+        leaf: Callable[[ast.AST], Column | None],
+        kind: Callable[[ast.AST], T.DataType | None] = lambda node: None,
+    ):
+        self.text, self.leaf, self.kind = text, leaf, kind
+
+    def is_text(self, node: ast.AST) -> bool:
+        return isinstance(self.kind(node), T.StringType)
 
     def value(self, node: ast.AST) -> Column:
         found = self.leaf(node)
@@ -170,35 +195,49 @@ class _Tree:
                 return F.coalesce(self.value(inner), self.value(filler))
         raise ValueError(f"unsupported expression {self.text!r}")
 
-    def test(self, node: ast.AST) -> Column:
-        """A condition that is true or false, never null."""
+    def test(self, node: ast.AST, outer: bool = False) -> Column:
+        """A condition that is true or false; only an outermost one may be null for false."""
         match node:
             case ast.BoolOp(op=op, values=values):
                 join = (lambda a, b: a & b) if isinstance(op, ast.And) else (lambda a, b: a | b)
-                return reduce(join, map(self.test, values))
+                outer = outer and isinstance(op, ast.And)
+                return reduce(join, [self.test(v, outer) for v in values])
             case ast.UnaryOp(op=ast.Not(), operand=operand):
                 return ~self.test(operand)
             case ast.Compare(left=left, ops=ops, comparators=rights):
                 terms = zip([left, *rights], ops, rights, strict=False)
-                return reduce(lambda a, b: a & b, [self._compared(*t) for t in terms])
+                return reduce(lambda a, b: a & b, [self._compared(*t, outer) for t in terms])
             case ast.BinOp(op=ast.BitAnd() | ast.BitOr()) | ast.UnaryOp(op=ast.Invert()):
                 raise ValueError(f"write and/or/not instead of &, |, ~ in filter {self.text!r}")
             case ast.Name() | ast.Constant(value=bool()):
                 return F.coalesce(self.value(node).cast("boolean"), F.lit(False))
         raise ValueError(f"unsupported filter {self.text!r}")
 
-    def _compared(self, left: ast.AST, op: ast.cmpop, right: ast.AST) -> Column:
+    def _beside(self, node: ast.AST, other: ast.AST) -> Column:
+        """A side of a comparison; whole numbers stay whole beside integers, so that scans can use them."""
+        match node:
+            case ast.Constant(value=int() as number) if isinstance(self.kind(other), T.IntegralType):
+                return F.lit(number)
+        return self.value(node)
+
+    def _compared(self, left: ast.AST, op: ast.cmpop, right: ast.AST, outer: bool = False) -> Column:
         if isinstance(op, ast.In | ast.NotIn):
             if not isinstance(right, ast.List | ast.Tuple):
                 raise ValueError(f"expected a list after in: {self.text!r}")
-            inside = F.coalesce(
-                self.value(left).isin([self.value(e) for e in right.elts]), F.lit(False)
-            )
+            same = [e for e in right.elts if self.is_text(e) == self.is_text(left)]
+            mixed = [self._compared(left, ast.Eq(), e) for e in right.elts if e not in same]
+            inside = F.coalesce(self.value(left).isin([self.value(e) for e in same]), F.lit(False))
+            inside = reduce(lambda a, b: a | b, mixed, inside)
             return ~inside if isinstance(op, ast.NotIn) else inside
         if type(op) not in _COMPARISONS:
             raise ValueError(f"unsupported comparison in {self.text!r}")
         missing = F.lit(isinstance(op, ast.NotEq))
-        return F.coalesce(_COMPARISONS[type(op)](self.value(left), self.value(right)), missing)
+        sides = [self._beside(left, right), self._beside(right, left)]
+        texts = [self.is_text(left), self.is_text(right)]
+        if any(texts) and not all(texts):
+            sides = [as_number(c) if t else c for c, t in zip(sides, texts, strict=True)]
+        compared = _COMPARISONS[type(op)](*sides)
+        return compared if outer and not isinstance(op, ast.NotEq) else F.coalesce(compared, missing)
 
 
 def expression_column(text: str, allowed: Iterable[str]) -> Column:

@@ -58,7 +58,7 @@ def filtered(panel: DataFrame, source: Source) -> DataFrame:
     rows = panel.drop(*source.exclude).where(
         F.col(source.period).between(source.first_period, source.last_period)
     )
-    return rows.where(predicate(source.where)) if source.where else rows
+    return rows.where(predicate(source.where, rows.schema)) if source.where else rows
 
 
 def discover(

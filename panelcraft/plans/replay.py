@@ -31,7 +31,7 @@ def replay(
     aggregates of one pass. Every key gets a row, also outside all windows.
     ``key`` overrides the dictionary's key column.
     """
-    rows = panel.where(predicate(where)) if where else panel
+    rows = panel.where(predicate(where, panel.schema)) if where else panel
     features = [replace(f, key=key or f.key).at(base_period) for f in features]
     key = key or next(f.key for f in features if f.key)
     features = [replace(f, key=key) for f in features]

@@ -12,17 +12,31 @@ from pyspark.sql import types as T
 _ARRAY_PATH = re.compile(r"(\$(?:\.\w+)*)\[\*\]")
 
 
-def read_documents(spark: SparkSession, path: str, *, one_per_line: bool = False) -> DataFrame:
+def read_documents(
+    spark: SparkSession,
+    path: str,
+    *,
+    one_per_line: bool = False,
+    id_path: str | None = None,
+    stream: bool = False,
+    **options,
+) -> DataFrame:
     """Documents as (request_id, document): one per file, or one per line.
 
-    The id is the file name; with one per line the document's own digest is
-    added, so that a re-read gives the same ids. Equal lines of a file share
-    their id: they are one request, which the online job answers once.
+    With ``id_path``, such as ``$.requestNo``, the id is the document's own, and
+    the same request in two files has one id. Otherwise, and for documents that
+    lack it, the id is the file name; with one per line the document's own
+    digest is added, so that a re-read gives the same ids. Equal documents under
+    one id are one request, which the online job answers once. ``stream`` reads
+    a stream of files; ``options`` go to the reader.
     """
-    text = spark.read.text(path, wholetext=not one_per_line)
+    reader = (spark.readStream if stream else spark.read).options(**options)
+    text = reader.text(path, wholetext=not one_per_line)
     name = F.input_file_name()
     if one_per_line:
         name = F.concat_ws("#", name, F.sha2("value", 256))
+    if id_path:
+        name = F.coalesce(scalar(F.col("value"), id_path), name)
     return text.select(name.alias("request_id"), F.col("value").alias("document"))
 
 

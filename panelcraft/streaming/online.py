@@ -219,11 +219,15 @@ def start_online(
     base_period: int,
     output: str,
     checkpoint: str,
+    horizon: str = "1 day",
     **trigger,
 ) -> StreamingQuery:
     """Write features and rejects of a stream of requests under ``output``.
 
-    Each micro-batch overwrites its own folder, so a batch that is retried after
+    A document that comes again under the same id, in the same micro-batch or
+    in a later one within ``horizon`` of its arrival, is answered once, as in a
+    batch. What is remembered of a request is its id and digest, in the state
+    store, until the horizon has passed. Each micro-batch overwrites its own folder, so a batch that is retried after
     a failure leaves the same files. ``trigger`` is passed to the stream, for
     example ``availableNow=True`` or ``processingTime="10 seconds"``.
     """
@@ -238,8 +242,15 @@ def start_online(
         finally:
             batch.unpersist()
 
+    arrived = F.current_timestamp().alias("_arrived")
+    first = (
+        requests.select("request_id", "document", F.sha2("document", 256).alias("_digest"), arrived)
+        .withWatermark("_arrived", horizon)
+        .dropDuplicatesWithinWatermark(["request_id", "_digest"])
+        .select("request_id", "document")
+    )
     return (
-        requests.writeStream.foreachBatch(write)
+        first.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

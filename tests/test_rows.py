@@ -260,3 +260,31 @@ def test_small_columns(spark):
     assert (c - a, d - b) == (1, 1)
     with pytest.raises(ValueError):
         period_index(F.col("d"), "week")
+
+
+def test_text_meets_numbers_without_failing(spark):
+    rows = [("A",), ("5",), ("5.0",), ("12",), (None,)]
+    df = spark.createDataFrame(rows, "s string").withColumn("n", F.lit(5))
+
+    def kept(text):
+        return [r["s"] for r in df.where(predicate(text, df.schema)).collect()]
+
+    assert kept("s != 5") == ["A", "12", None]
+    assert kept("s == 5") == kept("s == n") == ["5", "5.0"]
+    assert kept("4 < s < 13") == ["5", "5.0", "12"]
+    assert kept("s in [12, 'A']") == ["A", "12"]
+    assert kept("s not in [12, 'A']") == ["5", "5.0", None]
+    assert kept("n == 'A'") == [] and len(kept("n != 'A'")) == 5
+
+
+def test_integer_ranges_still_reach_the_scan(spark, tmp_path):
+    spark.range(10).select(F.col("id").alias("m"), F.lit("x").alias("t")).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    plan = df.where(predicate("m > 3 and t != 4", df.schema))._jdf.queryExecution().toString()
+    assert "GreaterThan(m,3)" in plan
+
+
+@pytest.mark.parametrize("a, b, whole", [(1e20, 1.0, 1e20), (-7.0, 2.0, -4.0), (1e300, 1e-5, 1e305), (9.1e15, 1.0, 9.1e15)])
+def test_whole_division_of_large_numbers(spark, a, b, whole):
+    df = spark.createDataFrame([(a, b)], "a double, b double")
+    assert df.select(expression_column('df["a"] // df["b"]', df.columns)).first()[0] == whole

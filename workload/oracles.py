@@ -634,6 +634,35 @@ ORACLES = {
         FROM (SELECT DISTINCT user_id FROM user_day) LEFT JOIN (
           {single("coalesce(sum(amt2), 0) AS total, max(amt2) AS best, count(*) AS size", 6)}) USING (user_id)"""
     ),
+    "custom_expr_large": with_panel(
+        f"""SELECT user_id, {LAST} AS base_period, best, size,
+          floor(best * 1e20) AS huge, floor(size * -9e22 / 0.5) AS low, floor((best - 5000) / 7) AS parts
+        FROM (SELECT DISTINCT user_id FROM user_day) LEFT JOIN (
+          {single("max(amt2) AS best, count(*) AS size", 6)}) USING (user_id)"""
+    ),
+    "panel_filter_types": """SELECT * FROM (
+        SELECT event_id, CASE WHEN event_id % 3 = 0 THEN json_extract_string(props, '$.k') ELSE event_type END AS tag
+        FROM events)
+      WHERE coalesce(TRY_CAST(tag AS DOUBLE) <> 50, true) AND NOT coalesce(TRY_CAST(tag AS DOUBLE) > 80, false)
+        AND NOT coalesce(TRY_CAST(tag AS DOUBLE) = 7, false) AND coalesce(tag <> 'click', true)""",
+    "keyword_match_large": """WITH
+      words AS (SELECT DISTINCT substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 5) AS word FROM orders),
+      lines AS (SELECT l_orderkey, l_linenumber, md5(concat(l_orderkey, '-', l_linenumber)) AS code FROM lineitem),
+      grams AS (SELECT code, substr(code, i, 5) AS gram
+        FROM (SELECT code, unnest(range(1, 29)) AS i FROM (SELECT DISTINCT code FROM lines))),
+      parts AS (SELECT substr(word, i, 3) AS part FROM (SELECT word, unnest(range(1, 4)) AS i FROM words))
+      SELECT l_orderkey, l_linenumber,
+        CAST(substr(code, 1, 5) IN (SELECT word FROM words) AS INTEGER) AS is_word,
+        CAST(code IN (SELECT code FROM grams JOIN words ON gram = word) AS INTEGER) AS has_word,
+        CAST(substr(code, 1, 3) IN (SELECT part FROM parts) AS INTEGER) AS in_word
+      FROM lines""",
+    "online_stream_repeats": f"""WITH {REQUESTS}
+      SELECT request_id, key, CAST(event_id + cents AS DOUBLE) AS var_22,
+        CAST(greatest(event_id, cents) AS DOUBLE) AS var_23,
+        CAST(CASE WHEN k IS NULL THEN 2 ELSE 1 END AS BIGINT) AS var_24, CAST(2 AS BIGINT) AS var_25,
+        CASE WHEN event_type = 'click' THEN 0.5 ELSE 0 END::DOUBLE AS var_26,
+        CAST(event_id + cents + 2 AS DOUBLE) AS var_31
+      FROM requests WHERE has_step AND is_number""",
     "online_repeated_requests": f"""WITH {REQUESTS}
       SELECT CAST(event_id % 10 AS VARCHAR) AS request_id, key, CAST(event_id + cents AS DOUBLE) AS var_22,
         CAST(greatest(event_id, cents) AS DOUBLE) AS var_23,

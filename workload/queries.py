@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from panelcraft.functions.columns import as_number, keyword_flag, predicate
 from panelcraft.operators.bins import bin_shares, threshold_share
 from panelcraft.operators.categories import category_shares, category_shares_long
+from panelcraft.operators.keywords import match_keywords
 from panelcraft.operators.pick import pick_extremes
 from panelcraft.operators.profile import (
     category_profile,
@@ -31,7 +32,7 @@ from panelcraft.plans.discover import discover, filtered
 from panelcraft.plans.replay import replay
 from panelcraft.session import materialize, shared_folder
 from panelcraft.sources.dictionary import dictionary_frame, read_dictionary, write_dictionary
-from panelcraft.sources.documents import explode_rows, row_array
+from panelcraft.sources.documents import explode_rows, read_documents, row_array
 from panelcraft.sources.tables import read_panel, write_features
 from panelcraft.spec import (
     CATEGORY,
@@ -93,6 +94,15 @@ def panel_filter_nulls(spark, sf_dir):
     return user_day(spark, sf_dir).where(predicate(text))
 
 
+@query
+def panel_filter_types(spark, sf_dir):
+    """Text against numbers: text that spells no number differs from all of them."""
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_id") % 3 == 0, F.get_json_object("props", "$.k")).otherwise(F.col("event_type")).alias("tag")
+    )
+    return rows.where(predicate("tag != 50 and not tag > 80 and tag not in [7, 'click']", rows.schema))
+
+
 @query
 def combo_ratio_long_history(spark, sf_dir):
     """Histories cut into short stretches; N is longer than half of one."""
@@ -442,6 +452,26 @@ def keyword_match_text(spark, sf_dir):
     )
 
 
+@query
+def keyword_match_large(spark, sf_dir):
+    """Values against a table of words: one per order, 15,000 at sf0.01."""
+    words = table(spark, sf_dir, "orders").select(
+        F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 5).alias("word")
+    )
+    line = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.md5(line).alias("code"),
+        F.substring(F.md5(line), 1, 3).alias("short"),
+        F.substring(F.md5(line), 1, 5).alias("start"),
+    )
+    rows = match_keywords(rows, "start", words, "word", "equal", "is_word")
+    rows = match_keywords(rows, "code", words, "word", "contain", "has_word")
+    rows = match_keywords(rows, "short", words, "word", "contained", "in_word")
+    return rows.drop("code", "short", "start")
+
+
 def order_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A status string per order, read as the account history of its customer."""
     digits = (F.col("o_orderkey") * 7919 + 104729).cast("string")
@@ -560,6 +590,19 @@ def custom_expr(spark, sf_dir):
     return replay(user_day(spark, sf_dir), features, LAST)
 
 
+@query
+def custom_expr_large(spark, sf_dir):
+    """Whole division of doubles beyond the 64-bit integers."""
+    features = [
+        Feature("best", STAT, KEY, DAY, "amt2", 6, "np.max"),
+        Feature("size", STAT, KEY, DAY, "amt2", 6, "np.size"),
+        Feature("huge", EXPRESSION, KEY, expression='(df["best"] * 100000000000000000000.0) // 1'),
+        Feature("low", EXPRESSION, KEY, expression='(df["size"] * -90000000000000000000000.0) // 0.5'),
+        Feature("parts", EXPRESSION, KEY, expression='(df["best"] - 5000) // 7'),
+    ]
+    return replay(user_day(spark, sf_dir), features, LAST)
+
+
 @query
 def custom_expr_more(spark, sf_dir):
     """Remainders of negative numbers, whole division, comparisons and filled nulls."""
@@ -672,6 +715,21 @@ def online_stream(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out/step=201").drop("batch", "request_id")
 
 
+@query
+def online_stream_repeats(spark, sf_dir):
+    """Every request in several files, one file per micro-batch: each is answered once."""
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    numbered = requests(spark, sf_dir).select(
+        F.regexp_replace("document", '^[{]', F.concat(F.lit('{"requestNo":"'), "request_id", F.lit('",'))).alias("value")
+    )
+    numbered.unionByName(numbered).repartition(3).write.text(f"{folder}/in")
+    documents = read_documents(
+        spark, f"{folder}/in", one_per_line=True, id_path="$.requestNo", stream=True, maxFilesPerTrigger=1
+    )
+    start_online(documents, [STEP], LAST, f"{folder}/out", f"{folder}/progress").awaitTermination()
+    return spark.read.parquet(f"{folder}/out/step=201").drop("batch")
+
+
 @query
 def csv_round_trip(spark, sf_dir):
     """The panel written as a feature table and read back as text, numbers cast."""
