@@ -27,6 +27,7 @@ def add_ratios(
     period_span: tuple[int, int] | None = None,
     frame: str = "rows",
     longest_history: int = LONGEST_HISTORY,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """The panel with one ratio column per feature.
 
@@ -36,7 +37,7 @@ def add_ratios(
     in the result, have null ratios and count in no window. ``period_span``
     states the panel's period range and so bounds a key's rows; without it the
     range is looked up. Longer histories are cut into overlapping stretches,
-    which changes no result.
+    which changes no result. Keys are told apart inside the ``within`` columns.
     """
     features = list(features)
     if not features:
@@ -50,8 +51,10 @@ def add_ratios(
     # At least one row before a stretch: it shows a period repeated across the cut.
     back = max(1, *(f.months - 1 for f in features))
     known = panel.where(F.col(key).isNotNull())
-    rows, group, order = known, [key], F.col(period)
+    rows, group, order = known, [*within, key], F.col(period)
     split = period_span[1] - period_span[0] >= longest_history
+    if split and within:
+        raise ValueError("keys inside other columns have no long histories")
     if split:
         cut = _by_row_number if frame == "rows" else _by_period
         rows = cut(known.where(F.col(period).isNotNull()), key, period, max(longest_history, 2 * back), back)

@@ -62,7 +62,8 @@ def trailing_features(
     carry: Sequence[str] = (),
     keyed: bool = False,
     block_length: int = BLOCK_LENGTH,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Compute all ``features`` over ``panel``.
 
@@ -75,7 +76,10 @@ def trailing_features(
     after a window over the key, so it is not shuffled again for that. Groups of
     more than ``hot_rows`` rows get their medians by rank selection; where
     ``unique_periods`` claims that there are none, the rows per key are counted
-    first, and a key with more makes the claim void.
+    first, and a key with more makes the claim void; None says that no group has
+    many rows, so nothing is counted. ``within`` names columns, such as a
+    request's id, inside which keys are told apart; they lead the result. Rows
+    that are already partitioned by some of them are not shuffled again.
     """
     features = list(features)
     key = features[0].key
@@ -86,8 +90,10 @@ def trailing_features(
         or any(f.first_base != f.last_base for f in features)
     )
     medians = [f for f in features if f.kind == STAT and f.func == "np.median"]
-    if medians and unique_periods:
-        per_key = panel.where(F.col(f"`{key}`").isNotNull()).groupBy(f"`{key}`").count()
+    within = list(within)
+    if medians and unique_periods and hot_rows is not None:
+        known_key = panel.where(F.col(f"`{key}`").isNotNull())
+        per_key = known_key.groupBy(*[F.col(f"`{c}`") for c in (*within, key)]).count()
         unique_periods = per_key.where(F.col("count") > hot_rows).isEmpty()
     zero_filled = [f for f in features if f.kind == RISING_STREAK]
     every_key = every_key or any(f.rows_from is None for f in zero_filled)
@@ -103,7 +109,7 @@ def trailing_features(
     # Compared in the source's own type, so that the range reaches the scan.
     near = panel.where(_any_window(features, keep_range, own_period)) if period else panel
     columns = [
-        F.col(f"`{key}`"),
+        *[F.col(f"`{c}`") for c in (*within, key)],
         *([own_period.cast("int").alias(PERIOD)] if period else []),
         *[as_number(F.col(f"`{c}`")).alias(n) for c, n in names.values.items()],
         *[
@@ -118,10 +124,10 @@ def trailing_features(
     rows = (panel if every_key and not marked else near).where(known).select(*columns)
     if period and marked:
         # One marker row per key, without a period, keeps the key alive.
-        alive = panel.where(known).select(f"`{key}`").distinct()
+        alive = panel.where(known).select(*[f"`{c}`" for c in (*within, key)]).distinct()
         rows = rows.unionByName(alive, allowMissingColumns=True)
 
-    group, blocks = [key], False
+    group, blocks = [*within, key], False
     if rolling:
         ranges = [(f.first_base, f.last_base) for f in features]
         ranges += [keep_range] if keep_range else []
@@ -142,7 +148,7 @@ def trailing_features(
             rows = rows.withColumn(BLOCK, F.explode(numbers))
             first = F.greatest(first, F.col(BLOCK) * block_length + start)
             last = F.least(last, F.col(BLOCK) * block_length + (start + block_length - 1))
-            group = [key, BLOCK]
+            group = [*within, key, BLOCK]
     if clustered and (blocks or not (runs or keyed)):
         # Windows over the key bring their own exchange, if one is needed.
         rows = rows.repartition(*group)
@@ -162,13 +168,13 @@ def trailing_features(
         own = f"{PERIOD} = {BASE} AND {BASE} BETWEEN {keep_range[0]} AND {keep_range[1]}"
         aggregates.append(F.expr(f"max(_own_{i}) FILTER (WHERE {own}) AS `{c}`"))
     result = rows.groupBy(*group).agg(*(aggregates or [F.count(F.lit(1)).alias("_rows")]))
-    if medians and unique_periods:
+    if medians and (unique_periods or hot_rows is None):
         found = _group_medians(rows, group, medians, names)
         result = result.join(found, group, "left") if aggregates else found
     elif medians:
         found = _medians(rows, group, medians, names, hot_rows)
         result = result.join(found, group, "left") if aggregates else found
-    out_keys = [key, BASE] if rolling else [key]
+    out_keys = [*within, key, BASE] if rolling else [*within, key]
     return result.select(
         *[f"`{c}`" for c in (*out_keys, *carry)], *[f"`{f.name}`" for f in features]
     )

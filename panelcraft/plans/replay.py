@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelcraft.functions.columns import expression_column, predicate
 from panelcraft.operators.ratios import add_ratios
-from panelcraft.operators.trailing import trailing_features
+from panelcraft.operators.trailing import HOT_ROWS, trailing_features
 from panelcraft.spec import EXPRESSION, RATIO, Feature
 
 
@@ -23,13 +23,16 @@ def replay(
     where: str | None = None,
     unique_periods: bool = True,
     period_span: tuple[int, int] | None = None,
+    within: Sequence[str] = (),
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """One row per key of ``panel`` with ``base_period`` and every variable.
 
     Ratio variables become row columns that later variables may read;
     expressions read finished variables before them in the list; all others are
     aggregates of one pass. Every key gets a row, also outside all windows.
-    ``key`` overrides the dictionary's key column.
+    ``key`` overrides the dictionary's key column; ``within`` and ``hot_rows``
+    are those of ``trailing_features``.
     """
     rows = panel.where(predicate(where, panel.schema)) if where else panel
     features = [replace(f, key=key or f.key).at(base_period) for f in features]
@@ -37,14 +40,20 @@ def replay(
     features = [replace(f, key=key) for f in features]
 
     ratios = [f for f in features if f.kind == RATIO]
-    rows = add_ratios(rows, ratios, period_span=period_span)
+    rows = add_ratios(rows, ratios, period_span=period_span, within=within)
     aggregates = [f for f in features if f.kind not in (RATIO, EXPRESSION)]
     if aggregates:
         table = trailing_features(
-            rows, aggregates, unique_periods=unique_periods, every_key=True, keyed=bool(ratios)
+            rows,
+            aggregates,
+            unique_periods=unique_periods,
+            every_key=True,
+            keyed=bool(ratios),
+            within=within,
+            hot_rows=hot_rows,
         )
     else:
-        table = rows.where(F.col(key).isNotNull()).select(key).distinct()
+        table = rows.where(F.col(key).isNotNull()).select(*within, key).distinct()
 
     finished = [f.name for f in aggregates]
     for f in features:
@@ -53,7 +62,7 @@ def replay(
             table = table.withColumn(f.name, expression_column(f.expression, before))
     names = [f.name for f in features if f.kind != RATIO]
     return table.select(
-        key, F.lit(base_period).alias("base_period"), *[f"`{name}`" for name in names]
+        *within, key, F.lit(base_period).alias("base_period"), *[f"`{name}`" for name in names]
     )
 
 

@@ -179,24 +179,29 @@ def step_features(usable: DataFrame, parts: Sequence[Step], base_period: int) ->
 
 def _part_features(usable: DataFrame, i: int, part: Step, base_period: int) -> DataFrame:
     key = scalar(F.col("document"), part.key_path) if part.key_path else F.lit(None).cast("string")
-    documents = usable.select(
-        "request_id", "_digest", key.alias("_key"), F.col(f"_rows_{i}").alias("_rows")
-    )
-    rows = explode_rows(documents, F.col("_rows"), part.fields, keep=("request_id", "_digest", "_key"))
+    request = ("request_id", "_digest")
+    documents = usable.select(*request, key.alias("_key"), F.col(f"_rows_{i}").alias("_rows"))
+    rows = explode_rows(documents, F.col("_rows"), part.fields, keep=(*request, "_key"))
     if part.key_path is None:
         rows = rows.withColumn("_key", F.col(f"`{part.key_column}`"))
-    rows = rows.where(F.col("_key").isNotNull()).withColumn(
-        "_request", F.struct("request_id", "_digest", F.col("_key").alias("key"))
-    )
+    rows = rows.where(F.col("_key").isNotNull())
     periods = {f.period for f in part.features if f.period}
     rows = rows.withColumns({p: _period_number(F.col(f"`{p}`")) for p in periods})
-    features = [replace(f, key="_request") for f in part.features]
-    # A group is part of one document, so its rows are bounded by the document.
+    features = [replace(f, key="_key") for f in part.features]
+    # A group is part of one document, so its rows are bounded by the document. Requests are
+    # already partitioned by id and digest, so grouping inside them needs no shuffle.
     table = replay(
-        rows, features, base_period, key="_request", unique_periods=True, period_span=(0, 0)
+        rows,
+        features,
+        base_period,
+        key="_key",
+        unique_periods=True,
+        period_span=(0, 0),
+        within=request,
+        hot_rows=None,
     )
     kept = [f.name for f in part.features if f.kind != RATIO]
-    return table.select("_request.*", *[f"`{n}`" for n in kept])
+    return table.select(*request, F.col("_key").alias("key"), *[f"`{n}`" for n in kept])
 
 
 def online_features(

@@ -359,3 +359,15 @@ def test_row_schema_conflicts():
     for fields in (["a", "a.b"], ["a.b", "a"]):
         with pytest.raises((ValueError, AttributeError)):
             rows_schema(fields)
+
+
+def test_requests_are_shuffled_once(spark):
+    """Features of a request need no exchange beyond the one that removes repeats."""
+    from workload.queries import LAST, STEP, requests
+
+    tables, _ = online_features(requests(spark, "/root/testdata/sf0.001"), [STEP], LAST)
+    table = tables["201"]
+    table.collect()
+    plan = table._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Scan parquet") == 1 or plan.count("FileScan parquet") == 1
