@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcraft.functions.columns import as_number
-from panelcraft.operators.ranks import exact_medians, sketch
+from panelcraft.operators.ranks import exact_medians, middle_ranks, select_ranks, sketch
 
 # Positions in the range [min, max] of a column, in percent.
 RANGE_POINTS = (25, 50, 75, 90, 95)
@@ -70,8 +70,12 @@ def _long_form(columns: Sequence[str], fields: Sequence[str]) -> Column:
     )
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """cnt, sum, min, max, avg, med, cnt_isna, pct_isna: one row per column."""
+def numeric_profile(df: DataFrame, columns: Sequence[str], *, ranges: bool = False) -> DataFrame:
+    """cnt, sum, min, max, avg, med, cnt_isna, pct_isna: one row per column.
+
+    With ``ranges`` also what ``range_profile`` gives. Two passes make all of
+    it: the second counts around the medians and range points that the first found.
+    """
     columns = list(columns)
     fields = ("cnt", "sum", "min", "max", "avg", "cnt_isna", "pct_isna", "_sketch", "_n")
     aggregates = []
@@ -104,12 +108,43 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.array(*[F.struct(F.lit(c).alias("var_name"), _number(c).alias("v")) for c in columns])
         ).alias("t")
     ).select("t.*")
-    medians = exact_medians(
-        values, ["var_name"], "v", few_groups=True, sketched=stats.select("var_name", "_sketch", "_n")
-    ).withColumnRenamed("median", "med")
-    return stats.join(medians, "var_name", "left").select(
-        "var_name", "cnt", "cnt_isna", "pct_isna", "sum", "min", "max", "avg", "med"
-    )
+    names = ["var_name", "cnt", "cnt_isna", "pct_isna", "sum", "min", "max", "avg", "med"]
+    points = {}
+    if ranges:
+        points = {
+            (r["var_name"], q): (q / 100) * (r["max"] - r["min"]) + r["min"]
+            for r in stats.select("var_name", "min", "max").collect()
+            for q in RANGE_POINTS
+            if r["min"] is not None
+        }
+        names += [f"P{q}_num" for q in RANGE_POINTS] + [f"P{q}_pct" for q in RANGE_POINTS]
+    below = None
+    sketched = stats.select("var_name", "_sketch", "_n")
+    if points:
+        rows = [(c, q, x) for (c, q), x in points.items()]
+        thresholds = df.sparkSession.createDataFrame(rows, "var_name string, name int, point double")
+        ranked, below = select_ranks(
+            values, ["var_name"], "v", middle_ranks, few_groups=True, sketched=sketched, thresholds=thresholds
+        )
+        medians = ranked.groupBy("var_name").agg(F.avg("value").alias("med"))
+        below = below.groupBy("var_name").agg(
+            *[F.max(F.when(F.col("name") == q, F.col("below"))).alias(f"_below_{q}") for q in RANGE_POINTS]
+        )
+    else:
+        medians = exact_medians(values, ["var_name"], "v", few_groups=True, sketched=sketched)
+        medians = medians.withColumnRenamed("median", "med")
+    found = stats.join(medians, "var_name", "left")
+    if below is not None:
+        found = found.join(below, "var_name", "left")
+    for q in RANGE_POINTS if ranges else ():
+        edge = F.lit(None).cast("double")
+        for c in columns:
+            edge = F.when(F.col("var_name") == c, F.lit(points.get((c, q))).cast("double")).otherwise(edge)
+        less = F.coalesce(F.col(f"_below_{q}"), F.lit(0)) if points else F.lit(0)
+        found = found.withColumn(f"P{q}_num", edge).withColumn(
+            f"P{q}_pct", safe_share(F.col("cnt") - less, F.col("cnt"))
+        )
+    return found.select(*names)
 
 
 def safe_share(part: Column, whole: Column) -> Column:

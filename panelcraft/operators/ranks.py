@@ -60,9 +60,10 @@ def select_ranks(
     few_groups: bool = False,
     copies: Copies | None = None,
     sketched: DataFrame | None = None,
+    thresholds: DataFrame | None = None,
     slack: float = SLACK,
     limit: int | None = None,
-) -> DataFrame:
+) -> DataFrame | tuple[DataFrame, DataFrame]:
     """The values at given 0-based ranks of each group, nulls left out, as doubles.
 
     ``ranks`` maps the group's value count to an ascending array of ranks. The
@@ -70,7 +71,10 @@ def select_ranks(
     ``few_groups`` says that groups x ranks is a small number by construction,
     so the brackets may pass through the driver; ``copies`` needs it. Groups
     with a null in their key are left out. ``sketched`` may hold (groups...,
-    ``_sketch``, ``_n``) if another pass has made them. The work is done now.
+    ``_sketch``, ``_n``) if another pass has made them. With ``thresholds``
+    (groups..., ``name``, ``point``), the same pass counts the values below each
+    point, and the result is a pair: the ranks, and (groups..., ``name``,
+    ``below``). The work is done now.
     """
     groups, limit = list(groups), LIMIT if limit is None else limit
     stored = list(copies.columns) if copies else groups
@@ -99,7 +103,11 @@ def select_ranks(
         drawn = _narrowed(narrowed, _small(wide, few_groups), groups, min(slack, 0.25))
         brackets = held(rest.unionByName(drawn))
 
-    bounds = _small(brackets.groupBy(*groups).agg(_sorted("low"), _sorted("high")), few_groups)
+    limits = brackets.select(*groups, "low", "high")
+    if thresholds is not None:
+        point = F.col("point").cast("double")
+        limits = limits.unionByName(thresholds.select(*groups, point.alias("low"), point.alias("high")))
+    bounds = _small(limits.groupBy(*groups).agg(_sorted("low"), _sorted("high")), few_groups)
     if copies:
         of_row = own.select(*stored, F.explode(copies.groups).alias("_group")).select(*stored, "_group.*")
         bounds = _on_driver(
@@ -107,16 +115,26 @@ def select_ranks(
             .groupBy(*stored)
             .agg(*[F.sort_array(F.flatten(F.collect_set(c))).alias(c) for c in ("_lows", "_highs")])
         )
-    found = held(_counted(rows, bounds, brackets, groups, copies, few_groups))
+    entries = _entries_of(rows, bounds, groups, copies, few_groups)
+    if thresholds is not None:
+        entries = materialize(entries)
+        below = F.col("value").isNull() | (F.col("value") < F.col("point"))
+        counts = (
+            thresholds.join(entries, groups, "left")
+            .groupBy(*groups, "name")
+            .agg(F.coalesce(F.sum(F.when(below, F.col("_times"))), F.lit(0)).alias("below"))
+        )
+    found = held(_placed(entries, brackets, groups, few_groups))
     missed = found.where("gap")
     hits = found.where(~F.col("gap")).select(*groups, "position", "value")
     if missed.isEmpty():
-        return hits
+        return hits if thresholds is None else (hits, counts)
     wider = min(1.0, max(slack, 1 / GRID) * 8)
-    if copies:
-        return select_ranks(
+    if copies or thresholds is not None:
+        again = select_ranks(
             values, groups, value, ranks, few_groups=few_groups, copies=copies, slack=wider, limit=limit
         )
+        return again if thresholds is None else (again, counts)
     lost = _small(missed.select(*groups).distinct(), few_groups)
     again = select_ranks(
         values.join(lost, groups, "left_semi"), groups, value, ranks, few_groups=few_groups, slack=wider, limit=limit
@@ -207,15 +225,10 @@ def _narrowed(rows: DataFrame, wide: DataFrame, groups: list[str], slack: float)
     )
 
 
-def _counted(
-    rows: DataFrame,
-    bounds: DataFrame,
-    brackets: DataFrame,
-    groups: list[str],
-    copies: Copies | None,
-    few_groups: bool,
+def _entries_of(
+    rows: DataFrame, bounds: DataFrame, groups: list[str], copies: Copies | None, few_groups: bool
 ) -> DataFrame:
-    """(groups..., position, value, gap): where each wanted rank falls; in a gap it is missed.
+    """(groups..., value, gap, _times): how often each value in a bracket, and each gap, occurs.
 
     Of sorted lows and highs, a value lies in a bracket if more lows are at or
     below it than highs are below it. Otherwise it stands for its gap, which is
@@ -243,6 +256,11 @@ def _counted(
             .groupBy(*[F.col(f"_group.{g}").alias(g) for g in groups], "value", "gap")
             .agg(F.sum("_times").alias("_times"))
         )
+    return entries
+
+
+def _placed(entries: DataFrame, brackets: DataFrame, groups: list[str], few_groups: bool) -> DataFrame:
+    """(groups..., position, value, gap): where each wanted rank falls; in a gap it is missed."""
     # At most `limit` values and one gap per bracket, whatever the group's size.
     in_order = Window.partitionBy(*groups).orderBy(F.asc_nulls_first("value"), "gap")
     wanted = brackets.groupBy(*groups).agg(F.collect_list(F.struct("position", "rank")).alias("_wanted"))

@@ -14,7 +14,6 @@ from panelcraft.operators.profile import (
     category_profile,
     numeric_profile,
     presence_pattern,
-    range_profile,
 )
 from panelcraft.plans.config import Source
 from panelcraft.sources.tables import columns_of_type
@@ -44,9 +43,7 @@ def check(
         presence.append(pattern.select(filename, "month_str", "month_str_count"))
         numeric = columns_of_type(meta, source.name, "Numbers", without=without)
         if numeric:
-            profile = numeric_profile(panel, numeric).join(
-                F.broadcast(range_profile(panel, numeric)), "var_name"
-            )
+            profile = numeric_profile(panel, numeric, ranges=True)
             numbers.append(
                 profile.select(
                     filename, "var_name", "cnt", "cnt_isna", "pct_isna", "sum", "min", "max",

@@ -66,6 +66,21 @@ def test_rank_selection_moves_and_stores_no_values(spark):
     assert {r["g"]: r["median"] for r in found.collect()} == medians
 
 
+def test_counts_below_points_come_with_the_ranks(spark):
+    rng = random.Random(9)
+    groups = {"a": [float(rng.randint(0, 30)) for _ in range(800)], "b": [1.0, 2.0, 2.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in [*vs, None]], "g string, v double")
+    points = [("a", 1, -5.0), ("a", 2, 7.0), ("a", 3, 7.5), ("a", 4, 30.0), ("a", 5, 99.0), ("b", 1, 2.0), ("c", 1, 0.0)]
+    thresholds = spark.createDataFrame(points, "g string, name int, point double")
+    picked, below = select_ranks(
+        df, ["g"], "v", ranks.middle_ranks, few_groups=True, thresholds=thresholds, slack=0.01, limit=5
+    )
+    found = {(r["g"], r["name"]): r["below"] for r in below.collect()}
+    assert found == {(g, n): sum(v < p for v in groups.get(g, [])) for g, n, p in points}
+    medians = picked.groupBy("g").agg(F.avg("value").alias("m")).collect()
+    assert {r["g"]: r["m"] for r in medians} == {g: statistics.median(v) for g, v in groups.items()}
+
+
 def test_medians(spark):
     rng = random.Random(2)
     groups = {k: [rng.choice([-1.5, 0.0, 2.0, 7.25, 9.0]) for _ in range(k + 1)] for k in range(30)}
