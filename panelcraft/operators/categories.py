@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcraft.operators.trailing import trailing_features
 from panelcraft.spec import CATEGORY, Feature, category_features, numbered
 
-# A category becomes two columns of the result, which bounds how many can be.
+# A category becomes two columns of the result; a column with more of them becomes two maps.
 MAX_CATEGORIES = 1000
 
 
 def category_lists(
     panel: DataFrame, features: Sequence[Feature], max_categories: int = MAX_CATEGORIES
-) -> dict[str, list[str]]:
+) -> dict[str, list[str] | None]:
     """Sorted distinct values inside each feature's windows, over all keys.
 
-    One pass serves all features. More values than ``max_categories`` is an
-    error, never a silent cut: such a column is no category column.
+    One pass serves all features. A feature with more values than
+    ``max_categories`` has None: its categories do not become columns.
     """
     if not features:
         return {}
@@ -34,27 +34,23 @@ def category_lists(
             for f in features
         ]
     )
+    first = Window.partitionBy("name").orderBy("v")
     found = (
         panel.where(F.col(features[0].key).isNotNull())
         .select(F.explode(tagged).alias("t"))
         .select("t.*")
         .where(F.col("v").isNotNull())
         .distinct()
-        .limit(max_categories * len(features) + 1)
+        .withColumn("_rank", F.row_number().over(first))
+        .where(F.col("_rank") <= max_categories + 1)
         .collect()
     )
     lists: dict[str, list[str]] = {f.name: [] for f in features}
     for row in found:
         lists[row["name"]].append(row["v"])
-    for f in features:
-        if len(lists[f.name]) > max_categories:
-            raise ValueError(
-                f"column {f.value!r} has over {max_categories} values in the window; "
-                "it cannot become one column per value"
-            )
-    if len(found) > max_categories * len(features):
-        raise ValueError("too many category values for one column per value")
-    return {name: sorted(values) for name, values in lists.items()}
+    return {
+        name: sorted(values) if len(values) <= max_categories else None for name, values in lists.items()
+    }
 
 
 def _in_any_window(f: Feature, period):
@@ -93,7 +89,7 @@ def category_shares_long(
     )
     copied = counted.withColumn("base_period", F.explode(bases))
     shares = copied.groupBy(F.col(f"`{key}`"), "base_period", "category").agg(F.sum("_rows").alias("cnt"))
-    totals = copied.groupBy(F.col(f"`{key}`"), "base_period").agg(F.sum("_rows").alias("_total"))
+    totals = shares.groupBy(F.col(f"`{key}`"), "base_period").agg(F.sum("cnt").alias("_total"))
     return shares.join(totals, [key, "base_period"]).select(
         f"`{key}`", "base_period", "category", "cnt", (F.col("cnt") / F.col("_total")).alias("pct")
     )
@@ -114,6 +110,9 @@ def category_shares(
 ) -> tuple[list[Feature], DataFrame]:
     """Per key: count and share of each category, as var_1, var_2, ... columns.
 
+    A column with over ``max_categories`` categories gives two maps instead,
+    from category to count and to share.
+
     The category list is the same for all base periods; a category absent from
     one of them counts 0 there.
     """

@@ -21,7 +21,8 @@ of Column calls.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +35,7 @@ from panelcraft.operators.streaks import add_run_marks, longest_run
 from panelcraft.spec import (
     CATEGORY,
     LOC_BIN,
+    MAP_FUNCS,
     PERIOD_RATIO,
     RISING_STREAK,
     STAT,
@@ -81,14 +83,18 @@ def trailing_features(
     request's id, inside which keys are told apart; they lead the result. Rows
     that are already partitioned by some of them are not shuffled again.
     """
-    features = list(features)
-    key = features[0].key
-    period = next((f.period for f in features if f.period), None)
+    asked, features = list(features), [f for f in features if f.func not in MAP_FUNCS]
+    maps = [f for f in asked if f.func in MAP_FUNCS]
+    key = asked[0].key
+    period = next((f.period for f in asked if f.period), None)
     rolling = (
         bool(carry)
         or edges is not None
-        or any(f.first_base != f.last_base for f in features)
+        or any(f.first_base != f.last_base for f in asked)
     )
+    if maps and not features:
+        # Which keys have a row in a window is a variable of its own.
+        features = [replace(f, name=f"_rows_{i}", kind=STAT, func="np.size") for i, f in enumerate(maps)]
     medians = [f for f in features if f.kind == STAT and f.func == "np.median"]
     within = list(within)
     if medians and unique_periods and hot_rows is not None:
@@ -175,11 +181,53 @@ def trailing_features(
         found = _medians(rows, group, medians, names, hot_rows)
         result = result.join(found, group, "left") if aggregates else found
     out_keys = [*within, key, BASE] if rolling else [*within, key]
+    for found in _category_maps(panel.where(known), [*within, key], maps, rolling):
+        result = result.join(found, out_keys, "left")
     return result.select(
-        *[f"`{c}`" for c in (*out_keys, *carry)], *[f"`{f.name}`" for f in features]
+        *[f"`{c}`" for c in (*out_keys, *carry)], *[f"`{f.name}`" for f in asked]
     )
 
 
+def _category_maps(
+    panel: DataFrame, keys: list[str], features: Sequence[Feature], rolling: bool
+) -> Iterator[DataFrame]:
+    """Per window of a column: (keys, base period) with maps of all its categories there.
+
+    Rows are counted per key, period and category before they are copied to
+    base periods, and a row of the result holds the categories that its own
+    window has, so the number of categories of the whole column bounds nothing.
+    """
+    together: dict[Feature, list[Feature]] = {}
+    for f in features:
+        together.setdefault(replace(f, name="", func=None), []).append(f)
+    groups = [F.col(f"`{k}`") for k in keys]
+    for f, same in together.items():
+        rows = panel.where(predicate(f.where, panel.schema)) if f.where else panel
+        category = F.col(f"`{f.value}`").cast("string").alias("_category")
+        if f.period:
+            at = F.col(f"`{f.period}`").cast("int")
+            rows = rows.where(_any_window([replace(f, kind=CATEGORY)], None, at))
+            counted = rows.groupBy(*groups, at.alias(PERIOD), category).agg(F.count(F.lit(1)).alias("_rows"))
+            bases = F.sequence(
+                F.greatest(F.col(PERIOD), F.lit(f.first_base)),
+                F.least(F.col(PERIOD) + (f.months - 1), F.lit(f.last_base)),
+            )
+            counted = counted.withColumn(BASE, F.explode(bases))
+        else:
+            counted = rows.groupBy(*groups, category).agg(F.count(F.lit(1)).alias("_rows"))
+        by = [*groups, F.col(BASE)] if rolling and f.period else groups
+        shares = counted.groupBy(*by, "_category").agg(F.sum("_rows").alias("_cnt"))
+        named = F.when(F.col("_category").isNotNull(), F.struct("_category", "_cnt"))
+        found = shares.groupBy(*by).agg(
+            F.array_sort(F.collect_list(named)).alias("_entries"), F.sum("_cnt").alias("_total")
+        )
+        share = F.transform(
+            "_entries", lambda e: F.struct(e["_category"], (e["_cnt"] / F.col("_total")).alias("pct"))
+        )
+        made = {"cnt_map": F.map_from_entries("_entries"), "pct_map": F.map_from_entries(share)}
+        yield found.select(*by, *[made[g.func].alias(g.name) for g in same])
+
+
 class _Names:
     """Columns that several features share, each computed once per row."""
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_ARRAY_PATH = re.compile(r"(\$(?:\.\w+)*)\[\*\]")
+_ARRAY_PATH = re.compile(r"(\$(?:\.\w+)*)\[\*\]((?:(?:\.\w+)+\[\*\])*)")
 
 
 def read_documents(
@@ -70,16 +71,32 @@ def rows_schema(fields: Iterable[str]) -> T.ArrayType:
     return T.ArrayType(struct(tree))
 
 
+def _field_of(names: Iterable[str]) -> Callable[[Column], Column]:
+    return lambda row: reduce(lambda column, name: column[name], names, row)
+
+
 def row_array(document: Column, path: str, fields: Iterable[str]) -> Column:
-    """The array at a path such as ``$.data[*]``, parsed once, values as text.
+    """The rows at a path such as ``$.data[*]``, parsed once, values as text.
 
-    A field that a row lacks is null, whichever rows have it.
+    Arrays may lie in one another, as in ``$.data[*].info.items[*]``: the rows
+    are those of the innermost arrays, in order. An element without the next
+    array has no rows. A field that a row lacks is null, whichever rows have it.
     """
     match = _ARRAY_PATH.fullmatch(path)
     if match is None:
-        raise ValueError(f"unsupported row path {path!r}, expected the form $.name[*]")
+        raise ValueError(f"unsupported row path {path!r}, expected the form $.name[*] or $.name[*].name[*]")
+    inner = [part.strip(".").split(".") for part in match[2].split("[*]")[:-1]]
+    schema = rows_schema(fields)
+    for names in reversed(inner):
+        for name in reversed(names):
+            schema = T.StructType([T.StructField(name, schema)])
+        schema = T.ArrayType(schema)
     array = document if match[1] == "$" else F.get_json_object(document, match[1])
-    return F.from_json(array, rows_schema(fields))
+    rows = F.from_json(array, schema)
+    for names in inner:
+        within = F.transform(rows, _field_of(names))
+        rows = F.flatten(F.filter(within, lambda x: x.isNotNull()))
+    return rows
 
 
 def explode_rows(

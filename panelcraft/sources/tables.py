@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A configuration table is read whole by the driver; a larger file is no such table.
@@ -54,11 +55,14 @@ def columns_of_type(
 
 
 def write_features(features: DataFrame, path: str, *, file_format: str = "parquet") -> None:
-    """Store a feature table as parquet or as CSV with a header."""
-    writer = features.write.mode("overwrite")
+    """Store a feature table as parquet or as CSV with a header, where maps are JSON text."""
     if file_format == "csv":
-        writer.option("header", True).csv(path)
+        flat = [
+            F.to_json(f"`{f.name}`").alias(f.name) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`")
+            for f in features.schema
+        ]
+        features.select(*flat).write.mode("overwrite").option("header", True).csv(path)
     elif file_format == "parquet":
-        writer.parquet(path)
+        features.write.mode("overwrite").parquet(path)
     else:
         raise ValueError(f"unknown feature table format {file_format!r}")

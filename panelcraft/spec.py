@@ -46,6 +46,9 @@ STAT_FUNCS = (
 )
 PERIOD_FUNCS = ("np.sum", "np.max", "np.mean")
 
+#: Category variables that hold all categories of a row in one map, for columns with very many.
+MAP_FUNCS = ("cnt_map", "pct_map")
+
 # Extra (latest, earliest) spans for quarter-based windows.
 EXTRA_SPANS = {3: (1, 2), 9: (3, 6), 12: (3, 9)}
 
@@ -168,8 +171,16 @@ def period_ratio_features(
 
 
 def category_features(
-    key: str, period: str, value: str, months: int, categories: Sequence[str], names: Iterator[str]
+    key: str,
+    period: str,
+    value: str,
+    months: int,
+    categories: Sequence[str] | None,
+    names: Iterator[str],
 ) -> list[Feature]:
+    """Count and share of every category; of all of them as two maps if ``categories`` is None."""
+    if categories is None:
+        return [Feature(next(names), CATEGORY, key, period, value, months, func) for func in MAP_FUNCS]
     return [
         Feature(next(names), CATEGORY, key, period, value, months, func, category=category)
         for category in categories

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -28,7 +30,10 @@ from panelcraft.operators.profile import (
 from panelcraft.operators.quality import assert_unique, duplicate_keys
 from panelcraft.operators.ratios import add_ratios, combination_ratios
 from panelcraft.operators.status import worst_status
-from panelcraft.spec import RATIO, Feature, ratio_pairs
+from panelcraft.operators.trailing import trailing_features
+from panelcraft.sources.documents import row_array
+from panelcraft.sources.tables import write_features
+from panelcraft.spec import CATEGORY, RATIO, STAT, Feature, ratio_pairs
 from tests.helpers import SCHEMA, by_key, panel_rows
 
 ROWS = panel_rows(seed=11)
@@ -90,8 +95,60 @@ def test_ratios_refuse_repeated_periods(spark):
 def test_category_list_and_limit(panel):
     features, _ = category_shares(panel, "customer", "month", "kind", 3, 12)
     assert [f.category for f in features] == ["A", "A", "B", "B", "C", "C"]
-    with pytest.raises(ValueError, match="over 2 values"):
-        category_shares(panel, "customer", "month", "kind", 3, 12, max_categories=2)
+    features, table = category_shares(panel, "customer", "month", "kind", 3, 12, max_categories=2)
+    assert [(f.name, f.func, f.category) for f in features] == [("var_1", "cnt_map", None), ("var_2", "pct_map", None)]
+    _, wide = category_shares(panel, "customer", "month", "kind", 3, 12)
+    columns = {r["customer"]: r for r in wide.collect()}
+    for r in table.collect():
+        own = columns.pop(r["customer"])
+        shown = {"A": (own["var_1"], own["var_2"]), "B": (own["var_3"], own["var_4"]), "C": (own["var_5"], own["var_6"])}
+        assert {k: (n, r["var_2"][k]) for k, n in r["var_1"].items()} == {k: v for k, v in shown.items() if v[0]}
+    assert not columns
+
+
+def test_category_maps_in_rolling_windows_and_files(spark, panel, tmp_path):
+    """Maps of every base period against the rows, with a row filter, nulls and keys without categories."""
+    asked = [
+        Feature(f"{func}_{months}", CATEGORY, "customer", "month", "kind", months, func, where="a > 0").at(10, 12)
+        for months in (1, 4)
+        for func in ("cnt_map", "pct_map")
+    ] + [Feature("n", STAT, "customer", "month", "a", 4, "np.size").at(10, 12)]
+    rows = panel.collect()
+    got = trailing_features(panel, asked).collect()
+    assert {(r["customer"], r["base_period"]) for r in got} == {
+        (r["customer"], b) for r in rows for b in (10, 11, 12) if b - 3 <= r["month"] <= b
+    }
+    for r in got:
+        for months in (1, 4):
+            inside = [
+                x["kind"] for x in rows
+                if x["customer"] == r["customer"] and r["base_period"] - months < x["month"] <= r["base_period"]
+                and x["a"] is not None and x["a"] > 0
+            ]
+            counts = {k: inside.count(k) for k in inside if k is not None}
+            assert r[f"cnt_map_{months}"] == (counts if inside else None)
+            shares = {k: n / len(inside) for k, n in counts.items()}
+            assert r[f"pct_map_{months}"] == (pytest.approx(shares) if inside else None)
+    alone = trailing_features(panel, [asked[2].at(12)])
+    assert alone.columns == ["customer", "cnt_map_4"]
+    write_features(alone, f"{tmp_path}/maps", file_format="csv")
+    text = {r["customer"]: r["cnt_map_4"] for r in spark.read.csv(f"{tmp_path}/maps", header=True).collect()}
+    assert text == {
+        r["customer"]: None if r["cnt_map_4"] is None else json.dumps(r["cnt_map_4"], separators=(",", ":")) for r in alone.collect()
+    }
+
+
+def test_nested_row_paths(spark):
+    documents = [
+        '{"a":{"d":[{"i":{"x":[{"v":1},{"w":2}]}},{"i":null},{},{"i":{"x":[]}},{"i":{"x":[{"v":"z"}]}}]}}',
+        '{"a":{"d":[]}}', "{}", "no json", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(documents)), "n int, document string")
+    rows = row_array(F.col("document"), "$.a.d[*].i.x[*]", ["v"])
+    got = {r["n"]: None if r["rows"] is None else [x["v"] for x in r["rows"]] for r in df.select("n", rows.alias("rows")).collect()}
+    assert got == {0: ["1", None, "z"], 1: [], 2: None, 3: None, 4: None}
+    with pytest.raises(ValueError):
+        row_array(F.col("document"), "$.a[0].b[*]", ["v"])
 
 
 def test_pick_extremes(spark):

@@ -634,6 +634,16 @@ ORACLES = {
         FROM (SELECT DISTINCT user_id FROM user_day) LEFT JOIN (
           {single("coalesce(sum(amt2), 0) AS total, max(amt2) AS best, count(*) AS size", 6)}) USING (user_id)"""
     ),
+    "discover_many_categories": """WITH counted AS (
+        SELECT o_orderpriority, CAST(o_custkey AS VARCHAR) AS customer, count(*) AS n FROM orders
+        WHERE year(o_orderdate) * 12 + month(o_orderdate) - 23940 BETWEEN 13 AND 36 GROUP BY 1, 2),
+      listed AS (SELECT o_orderpriority, string_agg(customer || ':' || n, ',' ORDER BY customer) AS counts,
+        max(n) / sum(n) AS largest FROM counted GROUP BY 1)
+      SELECT o_orderpriority, counts, CAST(1 AS DOUBLE) AS whole, largest, counts AS replayed FROM listed""",
+    "json_nested_rows": """SELECT CAST(event_id AS VARCHAR) AS request_id, CAST(case_id AS VARCHAR) AS case_id, event_type
+      FROM (SELECT event_id, event_type, event_id AS case_id FROM events
+        UNION ALL SELECT event_id, event_type, event_id * 10 FROM events
+        UNION ALL SELECT event_id, event_type, event_id + 1 FROM events WHERE event_id % 3 <> 0)""",
     "custom_expr_large": with_panel(
         f"""SELECT user_id, {LAST} AS base_period, best, size,
           floor(best * 1e20) AS huge, floor(size * -9e22 / 0.5) AS low, floor((best - 5000) / 7) AS parts

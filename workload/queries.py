@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcraft.functions.columns import as_number, keyword_flag, predicate
@@ -574,6 +574,36 @@ REPLAYED = [
 ]
 
 
+@query
+def discover_many_categories(spark, sf_dir):
+    """A column with more categories than columns can hold: one map per row, replayed from a file."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderpriority",
+        (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 23_940).cast("int").alias("month"),
+        F.col("o_custkey").cast("string").alias("customer"),
+    )
+    source = Source("orders", "o_orderpriority", "month", 1, 200)
+    row = {"datasource": "orders", "var_name": "customer", "month_start": 30, "month_end": 36, "month_combinations": "24"}
+    found = discover(
+        orders, source, Blocks([], [], [], [], [row]), unique_periods=False, max_categories=20
+    )
+    path = f"{shared_folder(spark)}/maps-{uuid.uuid4().hex}"
+    write_dictionary(spark, found.features, path)
+    again = replay(orders, read_dictionary(spark, path), 36, unique_periods=False)
+
+    def text(name: str) -> Column:
+        entry = lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))
+        return F.array_join(F.transform(F.array_sort(F.map_entries(name)), entry), ",")
+
+    replayed = again.select("o_orderpriority", text("var_1").alias("replayed"))
+    return found.table.select(
+        "o_orderpriority",
+        text("var_1").alias("counts"),
+        F.round(F.aggregate(F.map_values("var_2"), F.lit(0.0), lambda a, x: a + x), 6).alias("whole"),
+        F.array_max(F.map_values("var_2")).alias("largest"),
+    ).join(replayed, "o_orderpriority")
+
+
 @query
 def replay_features(spark, sf_dir):
     return replay(user_day(spark, sf_dir), REPLAYED, LAST, period_span=(1, 31))
@@ -673,6 +703,23 @@ def json_explode_features(spark, sf_dir):
     return rows.withColumnRenamed("event.type", "event_type")
 
 
+@query
+def json_nested_rows(spark, sf_dir):
+    """Rows of arrays inside arrays: every third request has an element without them."""
+    item = lambda n: F.struct(
+        n.cast("string").alias("case_id"), F.struct(F.col("event_type").alias("type")).alias("event")
+    )
+    some = F.array(item(F.col("event_id")), item(F.col("event_id") * 10))
+    lists = F.array(some, F.when(F.col("event_id") % 3 != 0, F.array(item(F.col("event_id") + 1))))
+    data = F.transform(lists, lambda x: F.struct(F.struct(x.alias("items")).alias("info")))
+    documents = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("request_id"), F.to_json(F.struct(data.alias("data"))).alias("document")
+    )
+    fields = ["case_id", "event.type"]
+    rows = row_array(F.col("document"), "$.data[*].info.items[*]", fields)
+    return explode_rows(documents, rows, fields, keep=("request_id",)).withColumnRenamed("event.type", "event_type")
+
+
 @query
 def online_requests(spark, sf_dir):
     return online_features(requests(spark, sf_dir), [STEP], LAST)[0]["201"]
