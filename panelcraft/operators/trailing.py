@@ -33,6 +33,7 @@ from panelcraft.functions.columns import as_number, predicate
 from panelcraft.operators.ranks import exact_medians
 from panelcraft.operators.streaks import add_run_marks, longest_run
 from panelcraft.spec import (
+    ADDED_FUNCS,
     CATEGORY,
     LOC_BIN,
     MAP_FUNCS,
@@ -359,7 +360,9 @@ def _stat(f: Feature, inside: str, rows: str, names: _Names) -> str:
             return f"{rows} - count({v}) {only}"
         case "pct_isna":
             return f"({rows} - count({v}) {only}) / {rows}"
-    raise ValueError(f"{f.name}: unknown statistic {f.func!r}")
+    if f.func in ADDED_FUNCS:
+        return ADDED_FUNCS[f.func](v, only)
+    raise ValueError(f"{f.name}: unknown statistic {f.func!r}; added ones are registered first")
 
 
 def _period_ratio(f: Feature, names: _Names) -> str:

@@ -32,6 +32,27 @@ def read_panel(
     return df.select(*[f"`{c}`" for c in df.columns if not re.fullmatch(r"_c\d+", c)])
 
 
+def store_panel(
+    panel: DataFrame, name: str, key: str, period: str, *, buckets: int = 200, by_period: bool = True
+) -> DataFrame:
+    """The panel as a stored table, laid out for trailing features, read back.
+
+    Rows are bucketed by key and sorted in each bucket: every job that groups by
+    the key, or opens windows over it, does so without a shuffle (``keyed=True``). With ``by_period`` the table is partitioned by the
+    period as well, so a range of periods reads only its own files; that suits
+    some hundreds of periods with rows enough for files of some size in each of
+    the ``buckets``. Rows are brought together before writing, so that a task
+    writes few files. Rows without a key or period stay in the table.
+    """
+    placed = panel.repartition(buckets, key)
+    writer = placed.write.format("parquet").mode("overwrite").bucketBy(buckets, key)
+    if by_period:
+        writer.sortBy(key).partitionBy(period).saveAsTable(name)
+    else:
+        writer.sortBy(key, period).saveAsTable(name)
+    return panel.sparkSession.table(name).select(*[f"`{c}`" for c in panel.columns])
+
+
 def read_config(spark: SparkSession, path: str, *, sep: str = "\t") -> list[dict]:
     """A configuration table as a list of rows; blank cells are None."""
     df = spark.read.csv(path, header=True, sep=sep, multiLine=True, escape='"')

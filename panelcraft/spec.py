@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, replace
 
 RATIO = "ratio"
@@ -49,6 +49,24 @@ PERIOD_FUNCS = ("np.sum", "np.max", "np.mean")
 #: Category variables that hold all categories of a row in one map, for columns with very many.
 MAP_FUNCS = ("cnt_map", "pct_map")
 
+#: Statistics that a user has added: code of the dictionary to builder.
+ADDED_FUNCS: dict[str, Callable[[str, str], str]] = {}
+
+
+def register_statistic(code: str, builder: Callable[[str, str], str]) -> None:
+    """Add a statistic under ``code``, which dictionaries then may use as ``func_name``.
+
+    ``builder`` gets the SQL name of the value column (a double, or null) and
+    the ``FILTER (WHERE ...)`` clause of the window, and returns the SQL text of
+    an aggregate, as ``lambda v, only: f"stddev_pop({v}) {only}"``. The result
+    is null for windows without a row, like every other statistic. Dictionaries
+    name the code only, so the process that replays one registers it first.
+    """
+    if code in STAT_FUNCS or code in PERIOD_FUNCS or code in MAP_FUNCS:
+        raise ValueError(f"{code!r} is a statistic of its own already")
+    ADDED_FUNCS[code] = builder
+
+
 # Extra (latest, earliest) spans for quarter-based windows.
 EXTRA_SPANS = {3: (1, 2), 9: (3, 6), 12: (3, 9)}
 

@@ -19,9 +19,10 @@ from panelcraft.sources.tables import (
     columns_of_type,
     read_config,
     read_panel,
+    store_panel,
     write_features,
 )
-from panelcraft.spec import CATEGORY, EXPRESSION, RATIO, STAT, STREAK, Feature
+from panelcraft.spec import CATEGORY, EXPRESSION, RATIO, STAT, STREAK, Feature, register_statistic
 from panelcraft.streaming.online import Step, online_features, start_online
 from tests.helpers import SCHEMA, panel_rows
 
@@ -371,3 +372,42 @@ def test_requests_are_shuffled_once(spark):
     plan = table._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Scan parquet") == 1 or plan.count("FileScan parquet") == 1
+
+
+def test_a_stored_panel_is_pruned_and_not_shuffled(spark):
+    rows = panel_rows(seed=5, keys=40)
+    df = spark.createDataFrame(rows + [(None, 3, 1.0, 1.0, 1.0, "A"), ("odd", None, 1.0, 1.0, 1.0, "A")], SCHEMA)
+    stored = store_panel(df, "layout_test", "customer", "month", buckets=4)
+    assert stored.columns == df.columns
+    assert Counter(map(tuple, stored.collect())) == Counter(map(tuple, df.collect()))
+    features = [
+        Feature("total", STAT, "customer", "month", "a", 3, "np.sum").at(10, 11),
+        Feature("run", STREAK, "customer", "month", "a", 3, threshold=2.0).at(10, 11),
+    ]
+    found = trailing_features(stored, features, unique_periods=True, keyed=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+    assert "PartitionFilters: [isnotnull(month" in plan and "(month#" in plan.split("PartitionFilters")[1][:200]
+    expected = trailing_features(df, features, unique_periods=True).collect()
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected)) and expected
+    plain = store_panel(df, "layout_plain", "customer", "month", buckets=4, by_period=False)
+    again = trailing_features(plain, features, unique_periods=True, keyed=True)
+    assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, again.collect())) == sorted(map(str, expected))
+
+
+def test_added_statistics_need_a_code_of_their_own(spark):
+    with pytest.raises(ValueError):
+        register_statistic("np.sum", lambda v, only: f"sum({v}) {only}")
+    df = spark.createDataFrame(panel_rows(seed=6), SCHEMA)
+    unknown = Feature("x", STAT, "customer", "month", "a", 3, "no such code").at(12)
+    with pytest.raises(ValueError, match="unknown statistic"):
+        trailing_features(df, [unknown])
+    register_statistic("deviation", lambda v, only: f"stddev_pop({v}) {only}")
+    got = trailing_features(df, [Feature("x", STAT, "customer", "month", "a", 3, "deviation").at(10, 12)]).collect()
+    for r in got:
+        inside = [x[2] for x in panel_rows(seed=6) if x[0] == r["customer"] and 0 <= r["base_period"] - x[1] < 3]
+        seen = [v for v in inside if v is not None]
+        mean = sum(seen) / len(seen) if seen else 0.0
+        expected = (sum((v - mean) ** 2 for v in seen) / len(seen)) ** 0.5 if seen else None
+        assert r["x"] == (None if expected is None else pytest.approx(expected, abs=1e-9))

@@ -644,6 +644,17 @@ ORACLES = {
       FROM (SELECT event_id, event_type, event_id AS case_id FROM events
         UNION ALL SELECT event_id, event_type, event_id * 10 FROM events
         UNION ALL SELECT event_id, event_type, event_id + 1 FROM events WHERE event_id % 3 <> 0)""",
+    "custom_statistic": with_panel(
+        f"""SELECT user_id, {LAST} AS base_period, spread_amt2, squares_amt1, size, spread_amt2 / size AS mixed
+        FROM (SELECT DISTINCT user_id FROM user_day)
+        LEFT JOIN ({single("max(amt2) - min(amt2) AS spread_amt2, count(*) AS size", 6)}) USING (user_id)
+        LEFT JOIN ({single("sum(amt1 * amt1) AS squares_amt1", 3)}) USING (user_id)"""
+    ),
+    "stored_panel_features": with_panel(
+        f"""SELECT user_id, base_period, total, n_rows, run FROM ({many("count(*) AS n_rows", 6)})
+        LEFT JOIN ({many("coalesce(sum(amt2), 0) AS total", 3)}) USING (user_id, base_period)
+        LEFT JOIN {run_above('user_day', 'amt2', 6, 3000, FIRST, LAST, 'run')} USING (user_id, base_period)"""
+    ),
     "custom_expr_large": with_panel(
         f"""SELECT user_id, {LAST} AS base_period, best, size,
           floor(best * 1e20) AS huge, floor(size * -9e22 / 0.5) AS low, floor((best - 5000) / 7) AS parts

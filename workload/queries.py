@@ -33,7 +33,7 @@ from panelcraft.plans.replay import replay
 from panelcraft.session import materialize, shared_folder
 from panelcraft.sources.dictionary import dictionary_frame, read_dictionary, write_dictionary
 from panelcraft.sources.documents import explode_rows, read_documents, row_array
-from panelcraft.sources.tables import read_panel, write_features
+from panelcraft.sources.tables import read_panel, store_panel, write_features
 from panelcraft.spec import (
     CATEGORY,
     EXPRESSION,
@@ -48,6 +48,7 @@ from panelcraft.spec import (
     Feature,
     numbered,
     period_ratio_features,
+    register_statistic,
     stat_features,
 )
 from panelcraft.streaming.online import Step, online_features, start_online
@@ -604,6 +605,35 @@ def discover_many_categories(spark, sf_dir):
     ).join(replayed, "o_orderpriority")
 
 
+@query
+def custom_statistic(spark, sf_dir):
+    """Statistics that are not the library's own, recorded in a dictionary and replayed from its file."""
+    register_statistic("spread", lambda v, only: f"max({v}) {only} - min({v}) {only}")
+    register_statistic("squares", lambda v, only: f"sum({v} * {v}) {only}")
+    features = [
+        Feature("spread_amt2", STAT, KEY, DAY, "amt2", 6, "spread"),
+        Feature("squares_amt1", STAT, KEY, DAY, "amt1", 3, "squares"),
+        Feature("size", STAT, KEY, DAY, "amt2", 6, "np.size"),
+        Feature("mixed", EXPRESSION, KEY, expression='df["spread_amt2"] / df["size"]'),
+    ]
+    path = f"{shared_folder(spark)}/added-{uuid.uuid4().hex}"
+    write_dictionary(spark, features, path)
+    return replay(user_day(spark, sf_dir), read_dictionary(spark, path), LAST)
+
+
+@query
+def stored_panel_features(spark, sf_dir):
+    """Rolling features from a stored panel: only its periods are read, and nothing is shuffled by key."""
+    name = f"panel_{uuid.uuid4().hex}"
+    panel = store_panel(user_day(spark, sf_dir), name, KEY, DAY, buckets=8)
+    features = [
+        Feature("total", STAT, KEY, DAY, "amt2", 3, "np.sum").at(FIRST, LAST),
+        Feature("n_rows", STAT, KEY, DAY, "amt2", 6, "np.size").at(FIRST, LAST),
+        Feature("run", STREAK, KEY, DAY, "amt2", 6, threshold=3000.0).at(FIRST, LAST),
+    ]
+    return trailing_features(panel, features, unique_periods=True, keyed=True)
+
+
 @query
 def replay_features(spark, sf_dir):
     return replay(user_day(spark, sf_dir), REPLAYED, LAST, period_span=(1, 31))
