@@ -260,23 +260,30 @@ def _entries_of(
 
 
 def _placed(entries: DataFrame, brackets: DataFrame, groups: list[str], few_groups: bool) -> DataFrame:
-    """(groups..., position, value, gap): where each wanted rank falls; in a gap it is missed."""
+    """(groups..., position, value, gap): where each wanted rank falls; outside its bracket it is missed."""
     # At most `limit` values and one gap per bracket, whatever the group's size.
     in_order = Window.partitionBy(*groups).orderBy(F.asc_nulls_first("value"), "gap")
-    wanted = brackets.groupBy(*groups).agg(F.collect_list(F.struct("position", "rank")).alias("_wanted"))
+    wanted = brackets.groupBy(*groups).agg(
+        F.collect_list(F.struct("position", "rank", "low", "high")).alias("_wanted")
+    )
+    hit = F.explode(
+        F.filter(
+            "_wanted",
+            lambda t: (t["rank"] < F.col("_upto")) & (t["rank"] >= F.col("_upto") - F.col("_times")),
+        )
+    )
+    # Counts are exact inside a rank's own bracket; elsewhere, with copies, only some rows were told apart.
+    own = F.col("value").between(F.col("_hit.low"), F.col("_hit.high"))
     return (
         entries.withColumn("_upto", F.sum("_times").over(in_order))
         .join(_small(wanted, few_groups), groups)
-        .withColumn(
-            "_hit",
-            F.explode(
-                F.filter(
-                    "_wanted",
-                    lambda t: (t["rank"] < F.col("_upto")) & (t["rank"] >= F.col("_upto") - F.col("_times")),
-                )
-            ),
+        .withColumn("_hit", hit)
+        .select(
+            *groups,
+            F.col("_hit.position").alias("position"),
+            "value",
+            (F.col("gap") | ~F.coalesce(own, F.lit(False))).alias("gap"),
         )
-        .select(*groups, F.col("_hit.position").alias("position"), "value", "gap")
     )
 
 

@@ -122,6 +122,23 @@ def test_bin_shares(panel, monkeypatch, kind, bins):
             assert r["share"] == pytest.approx(above / len(inside))
 
 
+def test_ranks_of_overlapping_windows_with_bad_sketches(spark, monkeypatch):
+    """Rows stand for several groups; a rank that misses its bracket must not be taken from another one."""
+    monkeypatch.setattr(ranks, "SKETCH", 8)
+    rng = random.Random(5)
+    rows = [(p, float(rng.randint(0, 40) + 3 * p)) for p in range(1, 13) for _ in range(60)]
+    df = spark.createDataFrame(rows, "p int, v double").repartition(4)
+    bases = F.filter(F.sequence(F.col("p"), F.col("p") + 3), lambda b: b <= 12)
+    copies = ranks.Copies(["p"], F.transform(bases, lambda b: F.struct(b.alias("base"))))
+    wanted = lambda n: F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.floor(i * (n - 1) / 6))
+    for slack in (0.0, 0.01, 0.05):
+        got = select_ranks(df, ["base"], "v", wanted, few_groups=True, copies=copies, slack=slack, limit=8).collect()
+        for base in range(1, 13):
+            values = sorted(v for p, v in rows if base - 3 <= p <= base)
+            found = {r["position"]: r["value"] for r in got if r["base"] == base}
+            assert found == {i: values[i * (len(values) - 1) // 6] for i in range(6)}
+
+
 def test_rank_positions_follow_floating_steps(spark):
     """For 14 bins of 123 values the step rule and integer division differ."""
     n, bins = 123, 14
