@@ -42,17 +42,22 @@ from panelcraft.llm.common import Stored, map_rows
 #: Normaliser: BASE - SHARE + SHARE * n * N div L.
 BASE, SHARE = 100, 50
 #: (term, document) pairs of an index block.
-BLOCK = 200_000
+BLOCK = 50_000
 #: Query terms that are held by every task that reads texts; with more, all terms are indexed.
 VOCABULARY = 200_000
 #: Items, and (item, term) pairs, that are searched in one pass over the index.
 ITEMS, PAIRS = 512, 64_000
+#: Different normalisers (two numbers each) that are broadcast.
+LENGTHS = 200_000
 #: Cells of one dense product.
 CELLS = 4_000_000
 #: Tasks' findings per item are ranked in so many groups first.
 SALTS = 32
 
-_TERM_BYTES = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
+#: Bytes of terms as they are, A-Z lowered, all others a blank.
+_TERM_BYTES = bytes(
+    c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else c + 32 if 65 <= c < 91 else 32 for c in range(256)
+)
 
 
 def terms_of(text: bytes | None) -> list[bytes]:
@@ -94,7 +99,9 @@ def _block(table: pa.Table) -> pa.Table:
     doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
     order = np.lexsort((doc, -tf, term))
     term, tf, doc = term[order], tf[order], doc[order]
-    new = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff(tf) != 0)]) if len(term) else np.zeros(0, int)
+    new = np.zeros(0, int)
+    if len(term):
+        new = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff(tf) != 0)])
 
     def listed(values, kind) -> pa.Array:
         values = values if isinstance(values, pa.Array) else pa.array(values, kind)
@@ -129,12 +136,15 @@ def build_index(docs: DataFrame, vocabulary: frozenset[bytes] | None = None, blo
     count, total = measured.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     frequencies = store.put("frequencies", measured.select(F.explode("terms").alias("term")).groupBy("term").count())
     strata = measured.withColumn("m", F.expr(f"{BASE - SHARE} + ({SHARE}L * n * {count}L) div {max(total, 1)}L"))
-    # One row per length; Spark broadcasts it only if that is small.
-    cuts = strata.groupBy("m").agg(F.ceil(F.sum(F.size("terms") + F.lit(1)) / block).alias("cuts"))
+    cuts = store.put(
+        "cuts", strata.groupBy("m").agg(F.ceil(F.sum(F.size("terms") + F.lit(1)) / block).alias("cuts"))
+    )
+    # One row per length: documents meet it without a shuffle unless there are very many lengths.
+    cuts = F.broadcast(cuts) if cuts.count() <= LENGTHS else cuts
     placed = strata.join(cuts, "m").withColumn("cut", F.pmod(F.xxhash64("row"), F.col("cuts")))
     blocks = placed.select("m", "cut", "doc_id", "terms", "tfs").groupBy("m", "cut").applyInArrow(_block, _BLOCK_SCHEMA)
     index = Index(store.put("blocks", blocks), frequencies, count)
-    store.drop("measured")
+    store.drop("measured", "cuts")
     return index
 
 
