@@ -7,8 +7,10 @@ with each dictionary, and the language with the fewest bytes over the whole
 text wins. The score is the share of bytes saved against the runner-up, scaled
 to 0..1; below ``margin`` the row is marked as rejected.
 
-The dictionaries are a bounded sample by design: at most ``sample`` texts, of
-``excerpt`` bytes each, per language, drawn by a hash of the id.
+The dictionaries are a bounded sample by design: about ``sample`` texts, of
+``excerpt`` characters each, per language, drawn by a hash of id and text. Equal
+rows are drawn once, and every language that has a labelled text has a
+dictionary, whatever its ids are.
 
 Defined cases: a null text or one without a letter gives ``und`` with score 0
 and is rejected; ties go to the language with more labelled texts; without any labelled
@@ -38,42 +40,29 @@ def letters(text: str) -> str:
 
 
 def learn_dictionaries(
-    docs: DataFrame, learn: Column, sample: int = 256, excerpt: int = 512, most: int = 1_000
+    docs: DataFrame, learn: Column, sample: int = 256, excerpt: int = 512
 ) -> tuple[tuple[str, bytes], ...]:
     """(language, raw dictionary content) from a bounded sample of labelled texts.
 
-    Languages with more labelled texts come first.
-
-    Counts per language give each its sampling share, so that the rows that are
-    ranked are about ``4 * sample`` per language however many there are.
+    Languages with more labelled texts come first. In a first aggregate every
+    text falls into one of ``sample`` slots of its language, by its hash, and a
+    slot keeps the text with the smallest one: a task holds at most so many rows
+    per language, however many copies a text or an id has.
     """
-    rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most + 1).collect()
-    if len(counts) > most:
-        raise ValueError(f"more than {most} languages")
-    if not counts:
-        return ()
-    spark = docs.sparkSession
-    shares = spark.createDataFrame(
-        [(r["lang"], min(1.0, 4.0 * sample / r["count"])) for r in counts],
-        "lang string, share double",
-    )
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    near = (
-        rows.join(F.broadcast(shares), "lang")
-        .withColumn("key", key)
-        .filter(F.pmod("key", F.lit(1_000_000)) < F.col("share") * 1_000_000)
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
+    rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "lang", key.alias("key"), F.substring("text", 1, excerpt).alias("part")
     )
-    part = F.substring("text", 1, excerpt)
-    picked = near.groupBy("lang").agg(
-        F.slice(F.array_sort(F.collect_set(F.struct("key", part.alias("part")))), 1, sample)
-        .getField("part")
-        .alias("parts")
+    slots = rows.groupBy("lang", F.pmod("key", F.lit(sample)).alias("slot")).agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("part", F.struct("key", "part")).alias("part")
     )
-    parts = {r["lang"]: r["parts"] for r in picked.collect()}
-    return tuple(
-        (r["lang"], letters(" ".join(parts[r["lang"]])).encode()) for r in counts if r["lang"] in parts
+    picked = slots.groupBy("lang").agg(
+        F.sum("n").alias("n"),
+        F.transform(F.array_sort(F.collect_list(F.struct("slot", "part"))), lambda s: s["part"]).alias("parts"),
     )
+    # One row of at most sample x excerpt characters per language of the labels.
+    found = picked.orderBy(F.desc("n"), "lang").collect()
+    return tuple((r["lang"], letters(" ".join(r["parts"])).encode()) for r in found)
 
 
 @functools.lru_cache(maxsize=4)
