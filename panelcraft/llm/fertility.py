@@ -35,9 +35,9 @@ FIGURES = ("chars_per_token", "token_entropy", "byte_fallback_share")
 SLACK = {"chars_per_token": 0.08, "token_entropy": 0.03, "byte_fallback_share": 0.02}
 #: Band tables of up to this many rows are sent to every executor; larger ones are joined by key.
 MOST_SENT = 10_000
-#: Longer stretches without a break are cut before encoding; keeps the merge loop near linear.
-LONGEST_STRETCH = 2_000
-_STRETCH = re.compile(r"\s{%d,}|\S{%d,}" % (LONGEST_STRETCH, LONGEST_STRETCH))
+#: Texts with longer stretches without a break are encoded by the library that suits these.
+LONG_STRETCH = 2_000
+_STRETCH = re.compile(r"\s{%d,}|\S{%d,}" % (LONG_STRETCH, LONG_STRETCH))
 STAT_SCHEMA = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "n_tokens long, chars_per_token double, token_entropy double, byte_fallback_share double, "
@@ -74,19 +74,21 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
-def stretches(text: str) -> list[str]:
-    """The text, cut only inside stretches of thousands of characters without a break."""
-    if not _STRETCH.search(text):
-        return [text]
-    parts, last = [], 0
-    for found in _STRETCH.finditer(text):
-        parts.append(text[last : found.start()])
-        parts += [
-            text[i : min(i + LONGEST_STRETCH, found.end())]
-            for i in range(found.start(), found.end(), LONGEST_STRETCH)
-        ]
-        last = found.end()
-    return [p for p in [*parts, text[last:]] if p]
+@functools.lru_cache(maxsize=1)
+def long_bpe(name: str = "byte_bpe_50k.json"):
+    """The same byte-level vocabulary in a library whose merges do not slow down with a word's length."""
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(vocabulary(name))
+    made.encode_special_tokens = True
+    return made
+
+
+def byte_ids(text: str, bpe_path: str) -> np.ndarray:
+    """Ids of the whole text; its longest stretch without a break decides which library makes them."""
+    if _STRETCH.search(text):
+        return np.array(long_bpe().encode(text, add_special_tokens=False).ids)
+    return byte_bpe(bpe_path).encode_to_numpy(text, disallowed_special=())
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -130,16 +132,15 @@ def fertility(text: str, bpe_path: str, piece_path: str) -> tuple:
     """(tokens, characters per token, normalised token entropy, byte-fallback share)."""
     if not text:
         return 0, None, None, None
-    encode = byte_bpe(bpe_path).encode_to_numpy
-    ids = np.concatenate([encode(p, disallowed_special=()) for p in stretches(text)])
+    ids = byte_ids(text, bpe_path)
     n = len(ids)
     count = np.unique(ids, return_counts=True)[1] / n
     entropy = float((count * -np.log2(count)).sum() / np.log2(n)) if n > 1 else 1.0
     model, unknown = piece_model(piece_path)
     share = 0.0
     if unknown.search(text):  # else every character has a piece, and no byte token can arise
-        pieces = np.concatenate([np.asarray(model.encode(p)) for p in stretches(text)])
-        is_byte = np.fromiter(map(model.is_byte, map(int, pieces)), bool, len(pieces))
+        pieces = model.encode(text)
+        is_byte = np.fromiter(map(model.is_byte, pieces), bool, len(pieces))
         share = float(is_byte.mean()) if len(pieces) else 0.0
     return n, len(text) / n, entropy, share
 
