@@ -4,10 +4,10 @@ Per kind a regular expression proposes spans (leftmost, not overlapping). A
 validator confirms or drops each: number ranges of addresses, Luhn for cards,
 digit counts of phones, mod-97 of bank account numbers. A score starts at the
 kind's own value and is moved by words near the span, up to ``NEAR`` code
-points of text to either side (not beyond the next proposal of that kind).
-The four base kinds stay whatever their score; the kinds added by the method
-need a score of ``THRESHOLD``. ``redact`` takes the words near a span of an
-added kind from the whole text, past other proposals too.
+points of text to either side. The four base kinds stay whatever their score,
+and their words end at the next proposal of that kind; the kinds added by the
+method need a score of ``THRESHOLD``, and their words are those of the whole
+text, so one word "ssn" serves a list of numbers.
 
 An account number is tried from every word that can begin one: at its
 country's length (``IBAN_LENGTHS``) first, so that upper-case words or digits
@@ -220,11 +220,11 @@ def _iban_spans(kind: Kind, text: Column) -> Column:
     return F.when(F.size(lengths) > 0, found).otherwise(F.array().cast(_SPAN))
 
 
-def _spans(kind: Kind, past: bool) -> Column:
+def _spans(kind: Kind) -> Column:
     """Confirmed spans of a kind from its proposals and the gaps between them.
 
-    With ``past`` the words near a span of an added kind may lie beyond the next
-    proposals: three of them, as the shortest has 11 characters, fill ``NEAR``.
+    The words near a span of an added kind may lie beyond the next proposals:
+    three of them, as the shortest has 11 characters, fill ``NEAR``.
     """
     hits, gaps = F.col(f"__hits_{kind.name}"), F.col(f"__gaps_{kind.name}")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("spans"))
@@ -234,7 +234,7 @@ def _spans(kind: Kind, past: bool) -> Column:
         begin = state["at"] + F.length(before)
         end = begin + F.length(hit)
         near = (before, after)
-        if past and not kind.always:
+        if not kind.always:
             near = tuple(
                 F.concat_ws("", *[F.coalesce(F.get(x, i + k), F.lit("")) for x, k in order])
                 for order in (
@@ -256,10 +256,9 @@ def _spans(kind: Kind, past: bool) -> Column:
     return F.when(F.size(hits) > 0, found).otherwise(F.array().cast(_SPAN))
 
 
-def find_pii(docs: DataFrame, past: bool = False) -> DataFrame:
+def find_pii(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` and ``pii``: (kind, start, end, score) by kind, then start.
 
-    ``past``: words near a social security number count beyond its neighbours too.
     A column named ``pii`` in the input is replaced.
     """
     kept = [c for c in docs.columns if c.lower() != "pii"]
@@ -286,7 +285,7 @@ def find_pii(docs: DataFrame, past: bool = False) -> DataFrame:
             for k in KINDS
         ],
     )
-    spans = [_iban_spans(k, padded) if k.name == "iban" else _spans(k, past) for k in KINDS]
+    spans = [_iban_spans(k, padded) if k.name == "iban" else _spans(k) for k in KINDS]
     return rows.select(*kept, F.concat(*spans).alias("pii"))
 
 
@@ -296,7 +295,7 @@ def redact(docs: DataFrame) -> DataFrame:
     Of overlapping spans the first decides the mark, and all their text goes.
     A null text stays null.
     """
-    found = find_pii(docs, past=True)
+    found = find_pii(docs)
     ordered = F.array_sort(
         F.transform("pii", lambda s: F.struct(s["start"], s["end"], s["kind"]))
     )
@@ -351,18 +350,25 @@ def _sql_spans(kind: Kind) -> str:
         "secret": f"{apart('[A-Za-z0-9]')} AND length(hit) <= 128",
     }
     keep = f"({checks.get(kind.name, 'true')})"
+    near = f"right(before, {NEAR}) || ' ' || left(after, {NEAR})"
+    if not kind.always:
+        near = (
+            f"substr(text, greatest(start - {NEAR}, 0) + 1, least(start, {NEAR})) || ' ' || "
+            f"substr(text, start + length(hit) + 1, {NEAR})"
+        )
+    seen = f"regexp_matches(translate({near}, '{ASCII_UPPER}', '{ASCII_LOWER}'), '{kind.context}')"
+    own, more = round(100 * kind.score), round(100 * min(1.0, kind.score + CONTEXT_GAIN))
+    score = f"CASE WHEN {seen} THEN {more} ELSE {own} END"
     if not kind.always:
-        near = f"right(before, {NEAR}) || ' ' || left(after, {NEAR})"
-        seen = f"regexp_matches(translate({near}, '{ASCII_UPPER}', '{ASCII_LOWER}'), '{kind.context}')"
-        keep += f" AND {kind.score} + CASE WHEN {seen} THEN {CONTEXT_GAIN} ELSE 0 END >= {THRESHOLD}"
+        keep += f" AND {score} >= {round(100 * THRESHOLD)}"
     order = [k.name for k in KINDS].index(kind.name)
     return f"""
-SELECT doc_id, {order} AS o, '{kind.name}' AS kind, start, start + length(hit) AS stop
-FROM (SELECT doc_id, hits[i] AS hit, gaps[i] AS before, gaps[i + 1] AS after,
+SELECT doc_id, {order} AS o, '{kind.name}' AS kind, start, start + length(hit) AS stop, {score} AS score
+FROM (SELECT doc_id, text, hits[i] AS hit, gaps[i] AS before, gaps[i + 1] AS after,
       CAST(coalesce(list_sum(list_transform(gaps[1:i], lambda g: length(g))), 0)
          + coalesce(list_sum(list_transform(hits[1:i - 1], lambda g: length(g))), 0) AS BIGINT) AS start
-   FROM (SELECT doc_id, hits, gaps, unnest(range(1, len(hits) + 1)) AS i
-      FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{kind.plain}') AS hits,
+   FROM (SELECT doc_id, text, hits, gaps, unnest(range(1, len(hits) + 1)) AS i
+      FROM (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '{kind.plain}') AS hits,
          string_split_regex(coalesce(text, ''), '{kind.plain}') AS gaps FROM documents)))
 WHERE {keep}"""
 
@@ -379,5 +385,6 @@ def sql() -> str:
 WITH spans AS ({parts})
 SELECT d.doc_id, {counts},
    sha256(coalesce(string_agg({text}, ',' ORDER BY o, start) FILTER (o < {len(base)}), '')) AS base_sha256,
-   coalesce(string_agg({text}, ',' ORDER BY o, start), '') AS spans
+   coalesce(string_agg({text}, ',' ORDER BY o, start), '') AS spans,
+   coalesce(string_agg(CAST(score AS VARCHAR), ',' ORDER BY o, start), '') AS scores
 FROM documents d LEFT JOIN spans s ON d.doc_id = s.doc_id GROUP BY d.doc_id"""

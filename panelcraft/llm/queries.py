@@ -61,6 +61,9 @@ def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[count(k.name) for k in pii.KINDS],
         F.sha2(text_of(F.filter("pii", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
         text_of(F.col("pii")).alias("spans"),
+        F.array_join(
+            F.transform("pii", lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ","
+        ).alias("scores"),
     )
 
 
