@@ -46,14 +46,25 @@ TEMPLATES = (
         distribute sublicense and or sell copies of the software and to permit persons to whom the
         software is furnished to do so subject to the following conditions the above copyright notice
         and this permission notice <<optional>>including the next paragraph<</optional>> shall be
-        included in all copies or substantial portions of the software""",
+        included in all copies or substantial portions of the software the software is provided as is
+        without warranty of any kind express or implied including but not limited to the warranties of
+        merchantability fitness for a particular purpose and noninfringement in no event shall the
+        authors or copyright holders be liable for any claim damages or other liability whether in an
+        action of contract tort or otherwise arising from out of or in connection with the software or
+        the use or other dealings in the software""",
     ),
     (
         "isc-text",
         0.99,
         """permission to use copy modify and <<optional>>or<</optional>> distribute this software for
         any purpose with or without fee is hereby granted provided that the above copyright notice and
-        this permission notice appear in all copies""",
+        this permission notice appear in all copies the software is provided as is and
+        <<var:author:1-8>> <<optional>>disclaims<</optional>> <<optional>>disclaim<</optional>> all
+        warranties with regard to this software including all implied warranties of merchantability
+        and fitness in no event shall <<var:author:1-8>> be liable for any special direct indirect or
+        consequential damages or any damages whatsoever resulting from loss of use data or profits
+        whether in an action of contract negligence or other tortious action arising out of or in
+        connection with the use or performance of this software""",
     ),
     (
         "bsd-text",
@@ -63,7 +74,18 @@ TEMPLATES = (
         redistributions of source code must retain the above copyright notice this list of conditions
         and the following disclaimer <<optional>>2<</optional>> redistributions in binary form must
         reproduce the above copyright notice this list of conditions and the following disclaimer in
-        the documentation and or other materials provided with the distribution""",
+        the documentation and or other materials provided with the distribution <<optional>>
+        <<optional>>3<</optional>> neither the name of <<var:holder:1-12>> nor the names of
+        <<optional>>its<</optional>> <<optional>>the<</optional>> contributors may be used to endorse
+        or promote products derived from this software without specific prior written permission
+        <</optional>> this software is provided by <<var:holder:1-12>> as is and any express or implied
+        warranties including but not limited to the implied warranties of merchantability and fitness
+        for a particular purpose are disclaimed in no event shall <<var:holder:1-12>> be liable for any
+        direct indirect incidental special exemplary or consequential damages including but not limited
+        to procurement of substitute goods or services loss of use data or profits or business
+        interruption however caused and on any theory of liability whether in contract strict liability
+        or tort including negligence or otherwise arising in any way out of the use of this software
+        even if advised of the possibility of such damage""",
     ),
     (
         "apache-2-text",
@@ -71,7 +93,10 @@ TEMPLATES = (
         """licensed under the apache license version 2 0 the license you may not use
         <<var:subject:1-6>> except in compliance with the license you may obtain a copy of the license
         at <<optional>>http<</optional>> <<optional>>https<</optional>> www apache org licenses
-        license 2 0""",
+        license 2 0 unless required by applicable law or agreed to in writing software distributed
+        under the license is distributed on an as is basis without warranties or conditions of any kind
+        either express or implied see the license for the specific language governing permissions and
+        limitations under the license""",
     ),
     ("mit", 0.8, "<<var:verb:1-1>> under the mit license"),
     ("apache-2", 0.8, "under the apache license version 2 <<optional>>0<</optional>>"),
@@ -205,10 +230,11 @@ def compiled(templates: tuple) -> tuple[Automaton, ...]:
 
 def places(line: bytes, wanted: bytes) -> Iterator[int]:
     """Word numbers where ``wanted`` (with spaces around) stands in the spaced line."""
-    at = line.find(wanted)
+    at, before, number = line.find(wanted), 0, 0
     while at >= 0:
-        yield line.count(b" ", 0, at)
-        at = line.find(wanted, at + 1)
+        number += line.count(b" ", before, at)  # only what lies between two places is counted
+        yield number
+        at, before = line.find(wanted, at + 1), at
 
 
 def scan(text: str | None, templates: tuple = TEMPLATES) -> tuple:
