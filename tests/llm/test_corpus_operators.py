@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from panelcraft.llm import decontamination, near_duplicates, packing, suffix_dedup
 from panelcraft.llm.common import Stored
@@ -351,3 +352,92 @@ def test_pipeline_stages(spark):
     last = cp.STAGES[-1][1](spark, docs, sf).collect()
     check_packing([(r.doc_id, r.text) for r in docs.collect()], last)
     assert {r.doc_id for r in cp.run(spark, sf).collect()} == {r.doc_id for r in last}
+
+
+def stage_rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+CLASHING = "n_words n_hit items contaminated pii lang_pred score rejected kept component_id node key _row _0 row".split()
+
+
+@pytest.mark.parametrize("name", ["language", "near_duplicates", "decontamination", "personal_data"])
+def test_stages_on_edge_rows(spark, edges, none, name):
+    """Each stage on nulls, repeated rows and ids, empty tables, and columns named like results."""
+    import corpus_pipeline as cp
+
+    sf, stage = "/root/testdata/sf0.001", dict(cp.STAGES)[name]
+    plain = stage(spark, edges, sf)
+    assert plain.columns == edges.columns and plain.dtypes == edges.dtypes
+    assert stage(spark, none, sf).collect() == []
+    typed = edges
+    for k, c in enumerate(CLASHING):
+        typed = typed.withColumn(c, F.lit(123) if k % 2 else F.array(F.lit(c)))
+    got = stage(spark, typed, sf)
+    assert got.dtypes == typed.dtypes
+    assert stage_rows(got.select(*edges.columns)) == stage_rows(plain)
+    assert got.where("n_hit != 123").count() == 0
+    before, after = stage_rows(edges), stage_rows(plain)
+    if name == "near_duplicates":
+        # Wordless rows stay, null and equal ids too; of the three repeated rows and their near copies one does.
+        assert all(after[r] == before[r] for r in before if not (r[1] or "").split())
+        assert sum(n for r, n in after.items() if r[0] is not None and 20 <= r[0] <= 26) == 1
+        assert sum(n for r, n in after.items() if r[0] is None) == sum(n for r, n in before.items() if r[0] is None)
+    if name == "personal_data":
+        assert sum(after.values()) == sum(before.values())
+    if name == "language":
+        assert all(any(map(str.isalpha, r[1] or "")) for r in after)
+
+
+def test_near_copies_with_null_and_shared_ids(spark):
+    import corpus_pipeline as cp
+
+    rng = random.Random(12)
+    one, two, three = (sentence(rng, 90) for _ in range(3))
+    rows = [
+        (None, one, "a"), (None, one + " ba", "a"),  # near copies, both without an id
+        (7, two, "a"), (8, two + " ba", "b"), (8, three, "a"),  # a near copy shares its id with another text
+        (9, "", "a"), (9, "", "b"), (None, None, "a"), (None, None, "b"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = cp.one_of_each_group(spark, docs, "/root/testdata/sf0.001").collect()
+    kept = Counter((r.doc_id, (r.text or "")[:40], r.source) for r in got)
+    expected = [(None, one[:40], "a"), (7, two[:40], "a"), (8, three[:40], "a")]
+    assert kept == Counter([*expected, (9, "", "a"), (9, "", "b"), (None, "", "a"), (None, "", "b")])
+
+
+def test_every_labelled_language_has_a_dictionary(spark):
+    from panelcraft.llm import language
+
+    rng = random.Random(3)
+    german = [(None, sentence(rng, 40), "de") for _ in range(600)] + [(5, "der die das " * 9, "rare")]
+    english = [(k, sentence(rng, 40), "en") for k in range(500)]
+    copies = [(6, "ein Text", "copy")] * 900  # equal rows fill one slot
+    docs = spark.createDataFrame(german + english + copies, "doc_id long, text string, lang string")
+    learned = language.learn_dictionaries(docs.repartition(6), F.lit(True), sample=32)
+    assert [lang for lang, _ in learned] == ["copy", "de", "en", "rare"]
+    sizes = {lang: content.count(b" ") for lang, content in learned}
+    assert sizes["copy"] == 1 and sizes["de"] > 32 * 30 and sizes["en"] > 32 * 30
+    assert learned == language.learn_dictionaries(docs.repartition(3), F.lit(True), sample=32)
+
+
+def test_long_stretches_have_the_tokens_of_the_whole_text():
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    from panelcraft.llm import fertility
+
+    paths = fertility.vocabulary("byte_bpe_50k.tiktoken"), fertility.vocabulary("piece_bpe_32k.model")
+    plain = Tokenizer.from_file(fertility.vocabulary("byte_bpe_50k.json"))
+    plain.encode_special_tokens = True
+    model = sentencepiece.SentencePieceProcessor(model_file=paths[1])
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("abcdefgh", k=17_269)), "漢字テスト" * 900 + " <|endoftext|>", " " * 5_000 + "x"]
+    for text in texts:
+        n, chars, entropy, share = fertility.fertility(text, *paths)
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert (n, chars) == (len(ids), len(text) / len(ids))
+        pieces = model.encode(text)
+        assert share == pytest.approx(sum(map(model.is_byte, pieces)) / len(pieces)) or share == 0.0
+    short = "word " * 300 + "naïve <|endoftext|>"
+    assert fertility.byte_ids(short, paths[0]).tolist() == plain.encode(short, add_special_tokens=False).ids

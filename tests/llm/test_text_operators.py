@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -170,7 +171,7 @@ def test_added_kinds_need_validators_or_context(spark):
     found = {r.doc_id: [s.kind for s in r.pii if s.kind not in JAVA_FREE] for r in pii.find_pii(frame).collect()}
     assert found[3] == ["iban"]
     assert found[4] == ["secret"]
-    assert found[5] == ["ssn"]  # the next proposal of the kind ends the context
+    assert found[5] == ["ssn", "ssn"]  # one word for both numbers; the third is too far from it
 
 
 def test_account_numbers_end_at_their_length(spark):
@@ -247,6 +248,55 @@ def test_mandatory_wording_must_match():
             license_scan.compile_template("bad", 0.5, bad)
 
 
+def test_whole_wordings_need_their_disclaimers():
+    """With any mandatory word changed or gone, a text is no longer accepted as that license."""
+    rng = random.Random(4)
+    for label, _, template in license_scan.TEMPLATES[:4]:
+        text = re.sub(r"<<var:[^>]*>>", " somebody ", re.sub(r"<<optional>>\w+<</optional>>", " ", template))
+        words = re.sub(r"<<[^>]*>>", " ", text).split()
+        assert label in license_scan.scan(" ".join(["Preamble.", *words, "and more"]))[3], label
+        fixed = [k for k, w in enumerate(words) if w != "somebody" and k > 30]
+        for k in rng.sample(fixed, 25):
+            changed = [*words[:k], "otherwise", "stated", "here", *words[k + 1 :]]
+            assert label not in license_scan.scan(" ".join(changed))[3], (label, words[k])
+            if words[k - 1] != "somebody" and words[k + 1 : k + 2] != ["somebody"]:
+                gone = [*words[:k], *words[k + 1 :]]
+                assert label not in license_scan.scan(" ".join(gone))[3] or words[k] in words[k + 1 : k + 2], label
+
+
+def test_phrases_against_a_plain_matcher():
+    """Places, first and last word of random texts, from the definition."""
+    rng = random.Random(8)
+    parts = "under the mit license apache version 2 cc by nc The MIT. x é".split()
+    for _ in range(400):
+        text = " ".join(rng.choice(parts) + rng.choice(["", "", "-", ".,", "\n"]) for _ in range(rng.randint(0, 60)))
+        if rng.random() < 0.5:
+            text += rng.choice([" under the mit license ", " cc by nc cc by nc", " Apache License, Version 2"])
+        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+        expected = sorted(
+            (k, k + len(p.split()), label)
+            for p, label in (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
+            for k in range(len(words))
+            if words[k : k + len(p.split())] == p.split()
+        )
+        n, base, *_ = license_scan.scan(text)
+        assert n == len(words)
+        assert [(b["start"], b["end"], b["label"]) for b in base] == expected
+
+
+def test_many_phrases_take_linear_time():
+    import time
+
+    def spent(n):
+        started = time.process_time()
+        assert len(license_scan.scan("cc by nc " * n)[1]) == n
+        return time.process_time() - started
+
+    spent(1_000)
+    assert spent(80_000) < 40 * max(spent(8_000), 0.01)
+
+
 def test_license_scan_on_edges(edges, none, clashing):
     assert license_scan.license_scan(edges).count() == len(edge_rows())
     assert license_scan.license_scan(none).count() == 0

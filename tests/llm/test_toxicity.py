@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from panelcraft.llm import toxicity
 from panelcraft.llm.common import fold, table
 
-SF = "/root/testdata/sf0.01"
+SF, LARGER = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
 
 def plain_ftrl(rows, alpha, beta, l1, l2, epochs):
@@ -67,7 +67,7 @@ def test_grams_of_a_text():
 
 
 def test_held_out_rows(spark):
-    docs, labels = table(spark, SF.replace("0.01", "0.1"), "documents"), table(spark, SF.replace("0.01", "0.1"), "labels")
+    docs, labels = table(spark, LARGER, "documents"), table(spark, LARGER, "labels")
     held = fold("doc_id", 5) == 0
     weights = toxicity.learn_toxicity(docs, labels, ~held)
     assert 0 < len(weights.at) < 5_000  # compact: of 2 ** 20 places
