@@ -6,7 +6,7 @@ All stages but the last return the columns of their input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcraft.llm import decontamination, language, near_duplicates, packing, pii
@@ -15,39 +15,80 @@ from panelcraft.llm.common import Stored, table
 #: Stages learn dictionaries and run Python per text: SQL cannot express the result.
 ORACLE_SQL: str | None = None
 
+#: Row numbers of kept documents that are broadcast, eight bytes each; more are joined by a shuffle.
+MOST_SENT = 4_000_000
+
+
+def _aside(docs: DataFrame, *more: str) -> DataFrame:
+    """``docs`` under names that no operator uses, beside ``more`` of its columns under their own."""
+    own = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)]
+    return docs.select(*own, *[F.col(f"`{c}`") for c in more])
+
+
+def _back(found: DataFrame, docs: DataFrame, **new: Column) -> DataFrame:
+    """The columns of ``docs`` as they were, except those that are given anew."""
+    return found.select(
+        *[new.get(c, F.col(f"_{i}")).alias(c) for i, c in enumerate(docs.columns)]
+    )
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language one dictionary names by more than a narrow margin."""
+    """Documents whose language one dictionary names by more than a narrow margin.
+
+    Null texts and texts without a letter have no language and go; rows without
+    a label teach nothing, and without any label no document has a language.
+    Repeated rows and rows with null or equal ids are judged one by one.
+    """
     learned = language.learn_dictionaries(docs, F.lit(True))
-    plain = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(docs.columns)])
-    texts = plain.withColumn("text", F.col(f"_{docs.columns.index('text')}"))
-    found = language.identify(texts, learned).filter(~F.col("rejected"))
-    return found.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
+    found = language.identify(_aside(docs, "text"), learned)
+    return _back(found.filter(~F.col("rejected")), docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates."""
-    found = near_duplicates.near_duplicates(docs.select("doc_id", "text"))
-    kept = found.filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    own = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
-    key = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    # A row that is there twice is one document.
-    return own.withColumn("__key", key).dropDuplicates(["doc_id", "__key"]).drop("__key")
+    """One document of every group of near duplicates: that with the smallest id, null ids last.
+
+    Rows are told apart by a stored number, so null and equal ids do no harm: of
+    repeated rows, and of near copies that share an id, one stays. Texts without
+    a word, null ones included, are linked with nothing and all stay.
+    """
+    store = Stored(spark)
+    rows = store.put("rows", _aside(docs, "doc_id", "text").withColumn("_row", F.monotonically_increasing_id()))
+    groups = near_duplicates.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    groups = store.put("groups", groups.select(F.col("doc_id").alias("_row"), "component_id"))
+    first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
+    ids = rows.select("_row", "doc_id").join(groups, "_row")
+    kept = store.put("kept", ids.groupBy("component_id").agg(F.min(first)["_row"].alias("_row")).select("_row"))
+    store.drop("groups")
+    # Eight bytes a row: sent to the executors if they are few, so that texts need not be shuffled.
+    kept = F.broadcast(kept) if kept.count() <= MOST_SENT else kept
+    return _back(rows.join(kept, "_row", "left_semi"), docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by benchmark items."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.filter(~F.col("contaminated")).select(*docs.columns)
+    """Documents that are not contaminated by benchmark items.
+
+    Null and empty texts have no words and stay; repeated rows and rows with
+    null or equal ids are judged one by one; an empty benchmark keeps all.
+    """
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    found = decontamination.contamination(_aside(docs, "doc_id", "text"), items)
+    return _back(found.filter(~F.col("contaminated")), docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind; n_chars follows the text."""
-    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """All documents, with personal data replaced by its kind; n_chars follows the text.
+
+    A null text stays null, with null n_chars; every row is treated on its own.
+    """
+    found = pii.redact(_aside(docs, "text"))
+    return _back(found, docs, text=F.col("text"), n_chars=F.length("text").cast("long"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in training sequences."""
+    """The pieces of all documents with their places in training sequences.
+
+    A null or empty text is the end mark alone; repeated rows are packed each on their own.
+    """
     return packing.pack(docs.select("doc_id", "text"))
 
 
