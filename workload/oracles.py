@@ -662,7 +662,7 @@ ORACLES = {
           {single("max(amt2) AS best, count(*) AS size", 6)}) USING (user_id)"""
     ),
     "panel_filter_types": """SELECT * FROM (
-        SELECT event_id, CASE WHEN event_id % 3 = 0 THEN json_extract_string(props, '$.k') ELSE event_type END AS tag
+        SELECT event_id, coalesce(CASE WHEN event_id % 3 = 0 THEN json_extract_string(props, '$.k') END, event_type) AS tag
         FROM events)
       WHERE coalesce(TRY_CAST(tag AS DOUBLE) <> 50, true) AND NOT coalesce(TRY_CAST(tag AS DOUBLE) > 80, false)
         AND NOT coalesce(TRY_CAST(tag AS DOUBLE) = 7, false) AND coalesce(tag <> 'click', true)""",

@@ -98,9 +98,9 @@ def panel_filter_nulls(spark, sf_dir):
 @query
 def panel_filter_types(spark, sf_dir):
     """Text against numbers: text that spells no number differs from all of them."""
-    rows = table(spark, sf_dir, "events").select(
-        "event_id", F.when(F.col("event_id") % 3 == 0, F.get_json_object("props", "$.k")).otherwise(F.col("event_type")).alias("tag")
-    )
+    number = F.when(F.col("event_id") % 3 == 0, F.get_json_object("props", "$.k"))
+    tag = F.when(number.isNotNull(), number).otherwise(F.col("event_type"))
+    rows = table(spark, sf_dir, "events").select("event_id", tag.alias("tag"))
     return rows.where(predicate("tag != 50 and not tag > 80 and tag not in [7, 'click']", rows.schema))
 
 
@@ -584,7 +584,7 @@ def discover_many_categories(spark, sf_dir):
         F.col("o_custkey").cast("string").alias("customer"),
     )
     source = Source("orders", "o_orderpriority", "month", 1, 200)
-    row = {"datasource": "orders", "var_name": "customer", "month_start": 30, "month_end": 36, "month_combinations": "24"}
+    row = _row(datasource="orders", var_name="customer", month_end="36", month_combinations="24")
     found = discover(
         orders, source, Blocks([], [], [], [], [row]), unique_periods=False, max_categories=20
     )
@@ -796,9 +796,8 @@ def online_stream(spark, sf_dir):
 def online_stream_repeats(spark, sf_dir):
     """Every request in several files, one file per micro-batch: each is answered once."""
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    numbered = requests(spark, sf_dir).select(
-        F.regexp_replace("document", '^[{]', F.concat(F.lit('{"requestNo":"'), "request_id", F.lit('",'))).alias("value")
-    )
+    own_number = F.concat(F.lit('{"requestNo":"'), "request_id", F.lit('",'))
+    numbered = requests(spark, sf_dir).select(F.regexp_replace("document", "^[{]", own_number).alias("value"))
     numbered.unionByName(numbered).repartition(3).write.text(f"{folder}/in")
     documents = read_documents(
         spark, f"{folder}/in", one_per_line=True, id_path="$.requestNo", stream=True, maxFilesPerTrigger=1
