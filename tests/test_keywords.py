@@ -35,6 +35,42 @@ def test_random_strings(spark, method, shortest):
     assert {r["n"]: r["hit"] for r in got} == {n: plain(v, words, method) for n, v in enumerate(values)}
 
 
+@pytest.mark.parametrize("method", METHODS)
+@pytest.mark.parametrize("shortest", [0, 2, 5])
+@pytest.mark.parametrize("most", [0, 40, 1_000])
+def test_sent_and_joined_words_agree(spark, monkeypatch, method, shortest, most):
+    """Below, between and above the numbers of words and values; words of the same head and several lengths."""
+    from panelcraft.operators import keywords
+
+    monkeypatch.setattr(keywords, "MOST_SENT", most)
+    rng = random.Random(shortest)
+    text = lambda low, high: "".join(rng.choices("abé\U0001f600", k=rng.randint(low, high)))
+    words = [text(shortest, 8) for _ in range(50)] + ["abéab" * 2, "abéab" * 3, "abéab" * 3 + "b", None]
+    values = [text(0, 20) for _ in range(200)] + [None, "", "abéab", "abéab" * 3, "x" + "abéab" * 4] + ["bbb"] * 99
+    df = spark.createDataFrame(list(enumerate(values)), "n int, v string").repartition(3)
+    table = spark.createDataFrame([(w,) for w in words], "w string")
+    got = match_keywords(df, "v", table, "w", method, "hit").collect()
+    assert {r["n"]: r["hit"] for r in got} == {n: plain(v, words, method) for n, v in enumerate(values)}
+    assert len(got) == len(values)
+
+
+def test_few_words_move_no_rows(spark, monkeypatch):
+    """Words and values below a checked number are sent: no n-gram of a value is shuffled, nor a row."""
+    from panelcraft.operators import keywords
+
+    monkeypatch.setattr(keywords, "MOST_SENT", 5_000)
+    rows = spark.range(20_000).select("id", F.md5(F.col("id").cast("string")).alias("code"))
+    rows = rows.withColumn("short", F.substring("code", 1, 2))
+    words = spark.range(3_000).select(F.substring(F.sha1(F.col("id").cast("string")), 1, 6).alias("w"))
+
+    contain = match_keywords(rows, "code", words, "w", "contain")
+    assert "Exchange" not in contain._jdf.queryExecution().executedPlan().toString()
+    assert contain.agg(F.sum("matched")).first()[0] > 0
+    for column, method in (("code", "equal"), ("short", "contained")):
+        plan = match_keywords(rows, column, words, "w", method)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [_text" in plan and "SortMergeJoin [_text" not in plan
+
+
 @pytest.mark.parametrize("method", METHODS)
 def test_empty_tables_and_clashing_names(spark, method):
     df = spark.createDataFrame([(1, "a", "x"), (2, None, "y")], "_gram int, _text string, _hit string")
