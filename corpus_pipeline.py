@@ -19,17 +19,20 @@ ORACLE_SQL: str | None = None
 MOST_SENT = 4_000_000
 
 
-def _aside(docs: DataFrame, *more: str) -> DataFrame:
-    """``docs`` under names that no operator uses, beside ``more`` of its columns under their own."""
-    own = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)]
-    return docs.select(*own, *[F.col(f"`{c}`") for c in more])
+def _aside(docs: DataFrame, *used: str) -> DataFrame:
+    """``docs`` with the columns ``used`` under their own names, the others under names that no operator uses.
+
+    A text is there once: it is by far the widest column of what tasks hold and move.
+    """
+    own = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns) if c not in used]
+    return docs.select(*own, *[F.col(f"`{c}`") for c in used])
 
 
 def _back(found: DataFrame, docs: DataFrame, **new: Column) -> DataFrame:
     """The columns of ``docs`` as they were, except those that are given anew."""
-    return found.select(
-        *[new.get(c, F.col(f"_{i}")).alias(c) for i, c in enumerate(docs.columns)]
-    )
+    aside = set(found.columns)
+    names = [f"_{i}" if f"_{i}" in aside else c for i, c in enumerate(docs.columns)]
+    return found.select(*[new.get(c, F.col(f"`{n}`")).alias(c) for c, n in zip(docs.columns, names, strict=True)])
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -389,6 +389,26 @@ def test_stages_on_edge_rows(spark, edges, none, name):
         assert all(any(map(str.isalpha, r[1] or "")) for r in after)
 
 
+@pytest.mark.parametrize("name", ["language", "near_duplicates", "decontamination", "personal_data"])
+def test_stages_hold_each_column_once(spark, edges, monkeypatch, name):
+    """What a stage hands to its operator, or stores, has no second copy of the texts."""
+    import corpus_pipeline as cp
+
+    held, stored = [], Stored.put
+    for module, function in ((cp.language, "identify"), (cp.decontamination, "contamination"), (cp.pii, "redact")):
+        kept = getattr(module, function)
+        monkeypatch.setattr(module, function, lambda df, *more, kept=kept: held.append(df) or kept(df, *more))
+    monkeypatch.setattr(
+        Stored, "put", lambda own, at, df: (at == "rows" and held.append(df)) or stored(own, at, df)
+    )
+    rows = edges.withColumn("Score", F.lit(1))
+    got = dict(cp.STAGES)[name](spark, rows, "/root/testdata/sf0.001")
+    assert got.dtypes == rows.dtypes
+    for df in held:
+        assert len(df.drop("_row").columns) == len(rows.columns) and "text" in df.columns
+    assert held
+
+
 def test_near_copies_with_null_and_shared_ids(spark):
     import corpus_pipeline as cp
 
