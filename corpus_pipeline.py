@@ -1,7 +1,8 @@
 """A corpus pipeline: each stage applies one operator to all that the stage before it kept.
 
 Language ID, near duplicates, benchmark decontamination, personal data, packing.
-All stages but the last return the columns of their input.
+All stages but the last return the columns of their input. Those that run Python bound
+the session's Arrow batches (``bound_batches``), since their rows are as wide as texts are.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcraft.llm import decontamination, language, near_duplicates, packing, pii
-from panelcraft.llm.common import Stored, table
+from panelcraft.llm.common import Stored, bound_batches, table
 
 #: Stages learn dictionaries and run Python per text: SQL cannot express the result.
 ORACLE_SQL: str | None = None
@@ -42,6 +43,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     a label teach nothing, and without any label no document has a language.
     Repeated rows and rows with null or equal ids are judged one by one.
     """
+    bound_batches(spark)
     learned = language.learn_dictionaries(docs, F.lit(True))
     found = language.identify(_aside(docs, "text"), learned)
     return _back(found.filter(~F.col("rejected")), docs)
@@ -54,6 +56,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     repeated rows, and of near copies that share an id, one stays. Texts without
     a word, null ones included, are linked with nothing and all stay.
     """
+    bound_batches(spark)
     store = Stored(spark)
     rows = store.put("rows", _aside(docs, "doc_id", "text").withColumn("_row", F.monotonically_increasing_id()))
     groups = near_duplicates.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
@@ -92,6 +95,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text is the end mark alone; repeated rows are packed each on their own.
     """
+    bound_batches(spark)
     return packing.pack(docs.select("doc_id", "text"))
 
 

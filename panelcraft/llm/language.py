@@ -19,13 +19,12 @@ text every document is ``und``. Empty tables give empty results.
 
 from __future__ import annotations
 
-import functools
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcraft.llm.common import map_rows
+from panelcraft.llm.common import held_alone, map_rows
 
 UNKNOWN = "und"
 PIECE = 2_048
@@ -65,7 +64,7 @@ def learn_dictionaries(
     return tuple((r["lang"], letters(" ".join(r["parts"])).encode()) for r in found)
 
 
-@functools.lru_cache(maxsize=1)
+@held_alone
 def _compressors(dictionaries: tuple[tuple[str, bytes], ...]) -> list:
     import zstandard
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcraft.llm.common import Stored, map_rows
+from panelcraft.llm.common import Stored, let_go, map_rows
 
 WORDS = 5
 SIMILAR = 75  # of 100
@@ -106,6 +106,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _signed(texts: list[str | None]) -> Iterator[tuple]:
+    let_go()
     for text in texts:
         hashes = shingle_set(text)
         if len(hashes):
@@ -117,6 +118,7 @@ def _signed(texts: list[str | None]) -> Iterator[tuple]:
 
 def _confirm(lefts: list[str], rights: list[str]) -> Iterator[tuple]:
     """Whether the texts of each pair are similar; rows come in runs of equal right texts."""
+    let_go()
     last, own = None, None
     for left, right in zip(lefts, rights, strict=True):
         if right is not last and right != last:

@@ -20,7 +20,6 @@ rows are packed each on their own; an empty table gives an empty result.
 from __future__ import annotations
 
 import bisect
-import functools
 import itertools
 import re
 import unicodedata
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcraft.llm.common import Stored, map_rows
+from panelcraft.llm.common import Stored, held_alone, map_rows
 
 SIZE = 2048
 END_ID = 0
@@ -116,7 +115,7 @@ class CachedTokenizer:
         return out
 
 
-@functools.lru_cache(maxsize=1)
+@held_alone
 def tokenizer(path: str) -> CachedTokenizer:
     return CachedTokenizer(path)
 
